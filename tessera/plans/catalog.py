@@ -1,6 +1,7 @@
 """All registered queries: importing the query modules fills the registry."""
 
 from tessera.plans import queries as _rec  # noqa: F401
+from tessera.plans import cf_queries as _cf  # noqa: F401
 from tessera.plans.queries import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

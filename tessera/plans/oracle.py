@@ -80,3 +80,76 @@ def baseline_pred_sql(method: str) -> tuple[str, tuple[str, ...]]:
 def baseline_join(pairs: str) -> str:
     return (f"{pairs} p LEFT JOIN user_avg ua ON p.user_id = ua.user_id "
             f"LEFT JOIN item_avg ia ON p.item_id = ia.item_id")
+
+
+# ------------------------------------------------------- neighbourhood CF -----
+
+def _other(entity: str) -> str:
+    return "item_id" if entity == "user_id" else "user_id"
+
+
+def cf_ctes(entity: str, k: int, targets: str | None, prefix: str) -> list[str]:
+    """CTE bodies (name, deps, sql) for stats, centred rows, sims and top-k.
+
+    ``targets`` is a CTE with an ``entity`` column restricting the left side
+    of the self-join (None = all entities).
+    """
+    f = _other(entity)
+    p = prefix
+    define(f"{p}stat", ("train",), f"""
+        SELECT {entity}, n, s / n AS mean, s / (n + 1e-9) AS avg,
+               sqrt(greatest(ss - s * s / n, 0)) AS norm
+        FROM (SELECT {entity}, COUNT(*) AS n, SUM(rating) AS s, SUM(rating * rating) AS ss
+              FROM train GROUP BY {entity}) t""")
+    define(f"{p}cent", (f"{p}stat",), f"""
+        SELECT t.{entity}, t.{f}, t.rating - s.mean AS c,
+               (t.rating - s.mean) / (s.norm + 1e-9) AS cn
+        FROM train t JOIN {p}stat s ON t.{entity} = s.{entity}
+        WHERE t.rating - s.mean <> 0""")
+    where = f"WHERE x.{entity} IN (SELECT {entity} FROM {targets})" if targets else ""
+    deps = (f"{p}cent",) + ((targets,) if targets else ())
+    define(f"{p}sims", deps, f"""
+        SELECT x.{entity} AS a, y.{entity} AS b, SUM(x.cn * y.cn) AS sim
+        FROM {p}cent x JOIN {p}cent y ON x.{f} = y.{f} AND x.{entity} <> y.{entity}
+        {where}
+        GROUP BY x.{entity}, y.{entity}""")
+    define(f"{p}nent", ("ratings",), f"SELECT COUNT(DISTINCT {entity}) AS n FROM ratings")
+    define(f"{p}nbrs", (f"{p}sims", f"{p}nent"), f"""
+        SELECT a, b, sim, rank FROM (
+            SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rank
+            FROM {p}sims WHERE sim > 0) t WHERE rank <= {k}
+        UNION ALL
+        SELECT a, b, sim, ((SELECT n FROM {p}nent) - 1) - nn + j AS rank FROM (
+            SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS j,
+                   COUNT(*) OVER (PARTITION BY a) AS nn
+            FROM {p}sims WHERE sim < 0) t
+        WHERE j <= {k} AND ((SELECT n FROM {p}nent) - 1) - nn + j <= {k}""")
+    return [f"{p}nbrs", f"{p}stat", f"{p}cent"]
+
+
+def cf_predict_sql(entity: str, k: int, pairs: str, bias: bool = True,
+                   select: str | None = None, tail: str = "", digits: int | None = ROUND):
+    """Prediction SQL for the rows of the ``pairs`` CTE."""
+    f = _other(entity)
+    p = f"{entity[0]}{'b' if bias else 'r'}{k}_"
+    define(f"{p}tgt", (pairs,), f"SELECT DISTINCT {entity} FROM {pairs}")
+    names = cf_ctes(entity, k, f"{p}tgt", p)
+    if bias:
+        vals = f"SELECT {entity} AS b, {f}, c AS v FROM {p}cent"
+    else:
+        vals = f"SELECT {entity} AS b, {f}, rating AS v FROM train"
+    define(f"{p}contrib", (pairs, f"{p}nbrs", f"{p}cent"), f"""
+        SELECT q.user_id, q.item_id, SUM(n.sim * v.v) AS num, SUM(n.sim) AS den
+        FROM (SELECT DISTINCT user_id, item_id FROM {pairs}) q
+        JOIN {p}nbrs n ON n.a = q.{entity}
+        JOIN ({vals}) v ON v.b = n.b AND v.{f} = q.{f}
+        GROUP BY q.user_id, q.item_id""")
+    ratio = "COALESCE(c.num, 0) / (COALESCE(c.den, 0) + 1e-9)"
+    pred = f"COALESCE(s.avg, 0) + {ratio}" if bias else ratio
+    sel = select or "q.user_id, q.item_id, q.rating"
+    body = f"""
+SELECT {sel}, {r(pred, digits) if digits is not None else pred} AS pred
+FROM {pairs} q LEFT JOIN {p}contrib c ON q.user_id = c.user_id AND q.item_id = c.item_id
+LEFT JOIN {p}stat s ON q.{entity} = s.{entity}
+{tail}"""
+    return body, names + [f"{p}contrib"]
