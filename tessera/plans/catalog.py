@@ -2,6 +2,7 @@
 
 from tessera.plans import queries as _rec  # noqa: F401
 from tessera.plans import cf_queries as _cf  # noqa: F401
+from tessera.plans import text_queries as _txt  # noqa: F401
 from tessera.plans.queries import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
