@@ -5,6 +5,7 @@ from tessera.plans import cf_queries as _cf  # noqa: F401
 from tessera.plans import text_queries as _txt  # noqa: F401
 from tessera.plans import content_queries as _cb  # noqa: F401
 from tessera.plans import weighting_queries as _wt  # noqa: F401
+from tessera.plans import factor_queries as _mf  # noqa: F401
 from tessera.plans.queries import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
