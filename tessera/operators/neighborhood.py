@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import similarity as S
 from tessera.plans.sizing import broadcast_if_small
+from tessera.session import cut_lineage
 
 EPS = S.EPS
 
@@ -28,10 +29,16 @@ def _other(entity: str) -> str:
 def neighbours(train: DataFrame, entity: str, k: int, n_entities,
                targets: DataFrame | None = None, chunk: int = S.DEFAULT_CHUNK,
                stats: DataFrame | None = None):
-    """(centred ratings, stats, top-k neighbours ``(a, b, sim, rank)``)."""
+    """(centred ratings, stats, top-k neighbours ``(a, b, sim, rank)``).
+
+    The centred table feeds both sides of the self-join, the hot-feature
+    check and the neighbours' values, so its lineage is cut once with a
+    reliable checkpoint in the shared checkpoint folder: the upstream
+    derivation runs once and a lost executor re-reads the files.
+    """
     feature = _other(entity)
     st = stats if stats is not None else S.entity_stats(train, entity)
-    cent = S.centered(train, entity, feature, st)
+    cent = cut_lineage(S.centered(train, entity, feature, st))
     sims = S.similarities(cent, entity, feature, targets, chunk)
     return cent, st, S.top_k(sims, k, n_entities)
 

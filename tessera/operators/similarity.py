@@ -95,20 +95,23 @@ def top_k(sims: DataFrame, k: int, n_entities: Column | int) -> DataFrame:
     """Neighbours of each ``a`` as a dense top-k over all other entities would pick.
 
     The dense ranking puts positives first, then every entity with
-    similarity 0 (not co-rated), then negatives.  Positives: plain top-k by
-    ``(round(sim, 9) desc, b asc)``.  The j-th best negative sits at dense
-    rank ``(n_entities - 1) - n_neg + j`` and is kept only if that is <= k.
-    Both ``row_number() <= k`` filters become per-partition limits before
-    the shuffle, so a hot ``a`` is trimmed map-side.
+    similarity 0 (co-rated or not), then negatives.  One ordering of the
+    co-rated pairs by (sign class: positive / zero / negative, then
+    ``round(sim, 9) desc, b asc``) gives each pair its
+    position ``rn``: a positive's dense rank is ``rn``; a negative's is
+    ``(n_entities - 1) - n_co + rn`` with ``n_co`` the number of co-rated
+    partners of ``a``.  Both are >= rn, so every kept row has ``rn <= k``:
+    one ``row_number() <= k`` window (a per-partition limit before the
+    shuffle, so a hot ``a`` is trimmed map-side) plus a partially aggregated
+    count per ``a`` decide everything.
     """
     n_all = n_entities if isinstance(n_entities, Column) else F.lit(n_entities)
-    order = W.partitionBy("a").orderBy(F.round("sim", 9).desc(), F.col("b").asc())
-    pos = (sims.where(F.col("sim") > 0).withColumn("rank", F.row_number().over(order))
-           .where(F.col("rank") <= k))
-    negs = sims.where(F.col("sim") < 0)
-    n_neg = negs.groupBy("a").agg(F.count(F.lit(1)).alias("_nn"))
-    neg = (negs.withColumn("_j", F.row_number().over(order)).where(F.col("_j") <= k)
-           .join(n_neg, "a")
-           .withColumn("rank", (n_all - 1) - F.col("_nn") + F.col("_j"))
-           .where(F.col("rank") <= k).drop("_j", "_nn"))
-    return pos.unionByName(neg)
+    sign_class = F.when(F.col("sim") > 0, 0).when(F.col("sim") == 0, 1).otherwise(2)
+    order = W.partitionBy("a").orderBy(sign_class, F.round("sim", 9).desc(), F.col("b").asc())
+    head = (sims.withColumn("_rn", F.row_number().over(order))
+            .where(F.col("_rn") <= k))
+    n_co = sims.groupBy("a").agg(F.count(F.lit(1)).alias("_nco"))
+    neg_rank = (n_all - 1) - F.col("_nco") + F.col("_rn")
+    rank = F.when(F.col("sim") > 0, F.col("_rn")).when(F.col("sim") < 0, neg_rank)
+    return (head.join(n_co, "a").withColumn("rank", rank)
+            .where(F.col("rank") <= k).drop("_rn", "_nco"))
