@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import shard_of
 from tessera.functions.text import people_text, person_list, tokenize
+from tessera.session import cut_lineage
 
 N_INDEX_SHARDS = 3
 N_DOC_SHARDS = 1
@@ -26,6 +27,24 @@ def _content_tokens(docs: DataFrame):
     return F.concat(tokenize(F.lower("title")), tokenize(F.lower("text")))
 
 
+def doc_terms(docs: DataFrame, with_people: bool = True) -> DataFrame:
+    """``(doc_id, term, tf, in_content)`` from ONE tokenization pass.
+
+    ``tf`` counts title + text (+ people) occurrences; ``in_content`` says
+    the term occurs in the title or text (the IDF vocabulary).  Postings,
+    document frequencies and the document count all derive from this table.
+    """
+    content = F.transform(_content_tokens(docs), lambda t: F.struct(t.alias("t"), F.lit(1).alias("c")))
+    toks = content
+    if with_people:
+        people = F.transform(tokenize(people_text()),
+                             lambda t: F.struct(t.alias("t"), F.lit(0).alias("c")))
+        toks = F.concat(content, people)
+    return (docs.select("doc_id", F.explode(toks).alias("x"))
+            .groupBy("doc_id", F.col("x.t").alias("term"))
+            .agg(F.count(F.lit(1)).alias("tf"), F.max("x.c").alias("in_content")))
+
+
 def term_frequencies(docs: DataFrame, with_people: bool = True) -> DataFrame:
     """TXT-4 / AGG-13: ``(doc_id, term, tf)`` over title + text (+ people)."""
     toks = _content_tokens(docs)
@@ -35,11 +54,14 @@ def term_frequencies(docs: DataFrame, with_people: bool = True) -> DataFrame:
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def postings_from_terms(dt: DataFrame, n_shards: int = N_INDEX_SHARDS) -> DataFrame:
+    return dt.select(shard_of("doc_id", n_shards).cast("int").alias("shard"),
+                     "term", "doc_id", "tf")
+
+
 def postings(docs: DataFrame, n_shards: int = N_INDEX_SHARDS) -> DataFrame:
     """TXT-5: ``(shard, term, doc_id, tf)``; shard = doc_id mod n (PART-2)."""
-    tf = term_frequencies(docs)
-    return tf.select(shard_of("doc_id", n_shards).cast("int").alias("shard"),
-                     "term", "doc_id", "tf")
+    return postings_from_terms(term_frequencies(docs), n_shards)
 
 
 def postings_lists(post: DataFrame) -> DataFrame:
@@ -52,41 +74,39 @@ def postings_lists(post: DataFrame) -> DataFrame:
             .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
 
 
-# A marker that can never be a token (tokens are letters, digits and "_").
-_DOC_MARK = "\u0000docs"
-
-
-def _df_with_marker(docs: DataFrame) -> DataFrame:
-    """Document frequencies plus one marker row counting documents with a token.
-
-    Both numbers come out of one scan and one partially aggregated shuffle.
-    """
-    toks = F.array_distinct(_content_tokens(docs))
-    marked = F.when(F.size(toks) > 0, F.concat(toks, F.array(F.lit(_DOC_MARK)))).otherwise(toks)
-    return (docs.select(F.explode(marked).alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-
-
-def document_frequencies(docs: DataFrame) -> DataFrame:
+def document_frequencies(dt: DataFrame) -> DataFrame:
     """AGG-15: ``(term, df)`` over title + text; people are not counted."""
-    return _df_with_marker(docs).where(F.col("term") != _DOC_MARK)
+    return (dt.where(F.col("in_content") == 1)
+            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
 
 
-def idf(docs: DataFrame, smooth: bool = False) -> DataFrame:
-    """TXT-6 / TXT-7: ``(term, df, idf)``.
+def idf_from_terms(dt: DataFrame, smooth: bool = False, docs: DataFrame | None = None) -> DataFrame:
+    """TXT-6 / TXT-7 over a (checkpointed) doc-terms table.
 
-    smooth=False: idf = ln(N / df), N = documents with at least one title or
-    text token (the marker row of the same aggregate; the scalar subquery
-    reuses its exchange).  smooth=True (legacy map): idf = ln((N + 1) / df),
-    N = all documents (a doc_id-only scan).
+    smooth=False: idf = ln(N / df), N = documents with a title or text token.
+    smooth=True (legacy map): idf = ln((N + 1) / df), N = all ``docs``.
     """
-    dfm = _df_with_marker(docs)
     if smooth:
         n = docs.select(F.count(F.lit(1)).cast("double") + F.lit(1.0)).scalar()
     else:
-        n = dfm.where(F.col("term") == _DOC_MARK).select(F.col("df").cast("double")).scalar()
-    return (dfm.where(F.col("term") != _DOC_MARK)
-            .select("term", "df", F.log(n / F.col("df")).alias("idf")))
+        n = (dt.where(F.col("in_content") == 1)
+             .select(F.countDistinct("doc_id").cast("double")).scalar())
+    return document_frequencies(dt).select("term", "df", F.log(n / F.col("df")).alias("idf"))
+
+
+def idf(docs: DataFrame, smooth: bool = False) -> DataFrame:
+    """TXT-6 / TXT-7 from documents: content terms tokenized once, lineage
+    cut (reliable checkpoint) because both df and N read them."""
+    dt = cut_lineage(doc_terms(docs, with_people=False))
+    return idf_from_terms(dt, smooth, docs)
+
+
+def build_index(docs: DataFrame, n_shards: int = N_INDEX_SHARDS,
+                n_doc_shards: int = N_DOC_SHARDS):
+    """TXT-5 + TXT-6 + TXT-8: ``(postings, idf, docstore)`` from one
+    tokenization pass over the corpus (checkpointed doc-terms table)."""
+    dt = cut_lineage(doc_terms(docs, with_people=True))
+    return postings_from_terms(dt, n_shards), idf_from_terms(dt), docstore(docs, n_doc_shards)
 
 
 def docstore(docs: DataFrame, n_shards: int = N_DOC_SHARDS) -> DataFrame:

@@ -36,7 +36,7 @@ def person_queries(spark, sf):
 
 def _index(spark, sf):
     docs = B.docs(spark, sf)
-    return docs, IX.postings(docs, N_SHARDS), IX.idf(docs), IX.docstore(docs)
+    return (docs,) + IX.build_index(docs, N_SHARDS)
 
 
 # ------------------------------------------------------------- SQL side ------
@@ -182,7 +182,7 @@ def q_postings(spark, sf):
 
 @register("idf", O.with_ctes("SELECT term, df, round(idf, 6) AS idf FROM idf", "idf"))
 def q_idf(spark, sf):
-    return IX.idf(B.docs(spark, sf)).select("term", "df", rnd("idf").alias("idf"))
+    return IX.idf(B.docs(spark, sf, with_credits=False)).select("term", "df", rnd("idf").alias("idf"))
 
 
 @register("idf_smooth", O.with_ctes("""
@@ -190,7 +190,8 @@ SELECT term, COUNT(*) AS df,
        round(ln(CAST((SELECT COUNT(*) FROM docs) + 1 AS DOUBLE) / COUNT(*)), 6) AS idf
 FROM ctoks GROUP BY term""", "ctoks", "docs"))
 def q_idf_smooth(spark, sf):
-    return IX.idf(B.docs(spark, sf), smooth=True).select("term", "df", rnd("idf").alias("idf"))
+    return IX.idf(B.docs(spark, sf, with_credits=False), smooth=True).select(
+        "term", "df", rnd("idf").alias("idf"))
 
 
 @register("docstore", O.with_ctes(

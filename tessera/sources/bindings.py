@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators.ratings import dedupe_ratings
+from tessera.session import cut_lineage
 from tessera.sources.tables import table
 
 NO_GENRES = "(no genres listed)"
@@ -77,14 +78,24 @@ def credits(spark: SparkSession, sf_dir: str, n_actors: int = 10,
             .select(F.col("l_partkey").alias("doc_id"), "actors", "directors"))
 
 
-def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search input: (doc_id, title, text, actors, directors, writer)."""
+def docs(spark: SparkSession, sf_dir: str, with_credits: bool = True) -> DataFrame:
+    """Search input: (doc_id, title, text, actors, directors, writer).
+
+    The credits (a join over line items, orders, customers and suppliers)
+    are small -- at most 12 names per part -- and are read by several
+    consumers, so their lineage is cut once; ``with_credits=False`` leaves
+    them out entirely (empty arrays) for jobs that never read people.
+    """
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"),
                                             F.col("p_name").alias("title"),
                                             F.col("p_brand").alias("writer"))
     empty = F.array().cast("array<string>")
-    return (d.join(p, "doc_id").join(credits(spark, sf_dir), "doc_id", "left")
+    if not with_credits:
+        return d.join(p, "doc_id").select("doc_id", "title", "text", empty.alias("actors"),
+                                           empty.alias("directors"), "writer")
+    cr = cut_lineage(credits(spark, sf_dir))
+    return (d.join(p, "doc_id").join(cr, "doc_id", "left")
             .select("doc_id", "title", "text",
                     F.coalesce("actors", empty).alias("actors"),
                     F.coalesce("directors", empty).alias("directors"),
