@@ -64,13 +64,15 @@ def postings(docs: DataFrame, n_shards: int = N_INDEX_SHARDS) -> DataFrame:
     return postings_from_terms(term_frequencies(docs), n_shards)
 
 
-def postings_lists(post: DataFrame) -> DataFrame:
-    """AGG-14: nested form ``(shard, term, postings array<struct<doc_id, tf>>)``.
+def postings_lists(post: DataFrame, block_width: int = 100_000) -> DataFrame:
+    """AGG-14: nested form ``(shard, term, block, postings array<struct<doc_id, tf>>)``.
 
-    One row per (shard, term); a term's list is bounded by the documents of
-    its shard.  For lookups the long form is preferred.
+    A term's list is cut into blocks of doc-id ranges ``block_width`` wide;
+    ids are unique, so no list holds more than ``block_width`` entries however
+    common the term is.  For lookups the long form is preferred.
     """
-    return (post.groupBy("shard", "term")
+    return (post.withColumn("block", F.floor(F.col("doc_id") / F.lit(block_width)))
+            .groupBy("shard", "term", "block")
             .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
 
 
