@@ -1,0 +1,20 @@
+from conftest import SF001
+from tessera.operators import ratings as rt
+from tessera.operators.similarity import entity_stats
+from tessera.session import scratch_path
+from tessera.sources import bindings as B
+from tessera.streaming.rating_stats import run_to_table
+
+
+def test_streamed_user_stats_equal_batch(spark):
+    r = B.ratings(spark, SF001)
+    s = rt.with_split(r)
+    path = scratch_path(spark, "stream-input")
+    for part in ("train", "valid", "test"):       # three arrivals
+        (s.where(s.split == part).selectExpr("user_id", "item_id", "rating", "bucket AS ts")
+         .write.mode("append").parquet(path))
+    got = {x.user_id: (x.n, x.avg, x.norm) for x in run_to_table(spark, path, "ustats").collect()}
+    want = {x.user_id: (x.n, x.avg, x.norm) for x in entity_stats(r, "user_id").collect()}
+    assert got.keys() == want.keys()
+    for u, (n, a, nm) in want.items():
+        assert got[u][0] == n and abs(got[u][1] - a) < 1e-9 and abs(got[u][2] - nm) < 1e-6
