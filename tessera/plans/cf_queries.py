@@ -6,22 +6,23 @@ from pyspark.sql import functions as F
 
 from tessera.operators import evaluate, neighborhood as NB, ratings as rt, similarity as S
 from tessera.plans import oracle as O
-from tessera.plans.queries import _train_eval, register, rnd, split_ratings
-from tessera.sources import bindings as B
+from tessera.plans.queries import _train_eval, n_distinct, register, rnd, split_ratings
 
 USER_K = 100        # neighbours for user-user CF (reference default)
 ITEM_K = 50         # neighbours for item-item CF
 SIM_K = 20          # top-k similarity report
 
 
-def _n_all(spark, sf, entity):
-    return B.ratings(spark, sf).select(F.countDistinct(entity)).scalar()
-
-
 def _train(spark, sf):
     return rt.split_part(split_ratings(spark, sf), "train")
 
 
+def _prepared(spark, sf):
+    s = split_ratings(spark, sf)
+    train, pairs = _train_eval(spark, sf, s)
+    return s, train, pairs
+
+
 # ---------------------------------------------------------------- step 3 -----
 
 O.cf_ctes("user_id", SIM_K, None, "us_")
@@ -46,8 +47,8 @@ def q_user_norms(spark, sf):
 
 def _topk_query(entity, prefix):
     def q(spark, sf):
-        train = _train(spark, sf)
-        _, _, nb = NB.neighbours(train, entity, SIM_K, _n_all(spark, sf, entity))
+        s, train, _ = _prepared(spark, sf)
+        _, _, nb = NB.neighbours(train, entity, SIM_K, n_distinct(s, entity))
         return nb.select(F.col("a").alias(entity), F.col("b").alias("neighbor_id"),
                          rnd("sim").alias("sim"), F.col("rank").cast("bigint").alias("rank"))
     sql = O.with_ctes(f"SELECT a AS {entity}, b AS neighbor_id, round(sim, 6) AS sim, "
@@ -64,10 +65,10 @@ for _e, _p, _key in (("user_id", "us_", "user_topk_sim"), ("item_id", "is_", "it
 
 def _cf_query(entity, k, bias):
     def q(spark, sf):
-        train, pairs = _train_eval(spark, sf)
+        s, train, pairs = _prepared(spark, sf)
         test = pairs.where(F.col("split") == "test").drop("split")
         pred = NB.predict(train, test, k=k, entity=entity, bias=bias,
-                          n_entities=_n_all(spark, sf, entity))
+                          n_entities=n_distinct(s, entity))
         return pred.select("user_id", "item_id", "rating", rnd("pred").alias("pred"))
     body, names = O.cf_predict_sql(entity, k, "testpairs", bias)
     return q, O.with_ctes(body, "testpairs", *names)
@@ -92,9 +93,9 @@ FROM ({body}) z GROUP BY split""",
 @register("user_cf_mse", _mse_sql())
 def q_user_cf_mse(spark, sf):
     """REC-11 / REC-12: validation and test MSE of bias-adjusted user-CF."""
-    train, pairs = _train_eval(spark, sf)
+    s, train, pairs = _prepared(spark, sf)
     pred = NB.predict(train, pairs, k=USER_K, entity="user_id",
-                      n_entities=_n_all(spark, sf, "user_id"))
+                      n_entities=n_distinct(s, "user_id"))
     return evaluate.mse(pred, by=["split"]).select("split", "n_pairs", rnd("mse").alias("mse"))
 
 
@@ -117,7 +118,7 @@ O.define("ua_rec", ("ua_nbrs", "ua_cent", "ua_stat", "train"), f"""
     "SELECT user_id, item_id, round(pred, 6) AS pred, rank FROM ua_rec", "ua_rec"))
 def q_user_cf_recommend(spark, sf):
     """REC-22: top-10 unrated items for every user with a train rating."""
-    train = _train(spark, sf)
+    s, train, _ = _prepared(spark, sf)
     rec = NB.recommend(train, train.select("user_id"), k=USER_K, n=10,
-                       n_entities=_n_all(spark, sf, "user_id"))
+                       n_entities=n_distinct(s, "user_id"))
     return rec.select("user_id", "item_id", rnd("pred").alias("pred"), "rank")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import content as CB, evaluate, ratings as rt
 from tessera.plans import oracle as O
 from tessera.plans.queries import register, rnd
+from tessera.session import cut_lineage
 from tessera.sources import bindings as B
 
 HOLD_OUT = 10
@@ -62,7 +63,7 @@ O.define("cpred", ("ctest", "iprof", "uprof", "cavg"), """
 def _content_split(spark, sf):
     cat = B.catalog(spark, sf)
     known = CB.rated_known_items(B.ratings(spark, sf), cat)
-    lno = rt.leave_n_out(known, n=HOLD_OUT, seed=1)
+    lno = cut_lineage(rt.leave_n_out(known, n=HOLD_OUT, seed=1))
     train = lno.where(F.col("split") == "train").drop("split")
     test = lno.where(F.col("split") == "test").drop("split")
     return cat, train, test

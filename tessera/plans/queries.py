@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import baselines, evaluate, ratings as rt
 from tessera.plans import oracle as O
+from tessera.session import cut_lineage
 from tessera.sources import bindings as B
 
 ROUND = O.ROUND
@@ -37,16 +38,23 @@ def rnd(c, digits: int = ROUND):
 
 
 def split_ratings(spark: SparkSession, sf: str) -> DataFrame:
-    return rt.with_split(B.ratings(spark, sf))
+    """The split ratings every model of a query reads several times: derived
+    once (join, dedupe, split) and cut with a reliable checkpoint."""
+    return cut_lineage(rt.with_split(B.ratings(spark, sf)))
 
 
-def _train_eval(spark: SparkSession, sf: str):
-    s = split_ratings(spark, sf)
+def _train_eval(spark: SparkSession, sf: str, s: DataFrame | None = None):
+    s = split_ratings(spark, sf) if s is None else s
     train = rt.split_part(s, "train")
     pairs = s.where(F.col("split") != "train").drop("bucket")
     return train, pairs
 
 
+def n_distinct(s: DataFrame, col: str):
+    """Scalar subquery: distinct ``col`` values over all splits."""
+    return s.select(F.countDistinct(col)).scalar()
+
+
 # ---------------------------------------------------------------- step 0 -----
 
 @register("baseline_user_avg_mse", O.with_ctes("""
@@ -93,7 +101,7 @@ def q_split_overlap(spark, sf):
     tr = s.where(F.col("split") == "train").select(*keys)
     te = s.where(F.col("split") == "test").select(*keys)
     overlap = tr.intersect(te).agg(F.count(F.lit(1)).alias("n_overlap"))
-    rest = (B.ratings(spark, sf).select(*keys).join(tr, keys, "left_anti")
+    rest = (s.select(*keys).join(tr, keys, "left_anti")
             .agg(F.count(F.lit(1)).alias("n_rest")))
     return overlap.select(F.col("n_overlap"), rest.scalar().alias("n_rest"))
 
