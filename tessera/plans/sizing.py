@@ -49,6 +49,10 @@ def spread_small(df: DataFrame, *keys: str,
     a superset of ``keys`` (e.g. (doc_id, term)) need no further exchange.
     """
     size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-    return df
+    if size is None or size > max_bytes:
+        return df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext (Spark Connect): use the shuffle width
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
