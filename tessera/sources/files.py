@@ -96,3 +96,17 @@ def write_ratings_csv(ratings: DataFrame, path: str) -> None:
     (ratings.select(F.col("user_id").alias("userId"), F.col("item_id").alias("movieId"),
                     "rating", F.lit(0).cast("long").alias("timestamp"))
      .write.mode("overwrite").option("header", True).csv(path))
+
+
+def write_catalog_csv(catalog: DataFrame, path: str) -> None:
+    """movies.csv layout: movieId,title,genres (titles quoted when needed)."""
+    (catalog.select(F.col("item_id").alias("movieId"), "title", "genres")
+     .write.mode("overwrite").option("header", True).option("quote", '"')
+     .option("escape", '"').csv(path))
+
+
+def write_links_csv(links: DataFrame, path: str) -> None:
+    """links.csv layout: movieId,imdbId,tmdbId with the ids as strings."""
+    (links.select(F.col("item_id").alias("movieId"), F.col("imdb_id").alias("imdbId"),
+                  F.col("tmdb_id").alias("tmdbId"))
+     .write.mode("overwrite").option("header", True).csv(path))
