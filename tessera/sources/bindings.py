@@ -61,7 +61,8 @@ def _first_n(df: DataFrame, key: str, order: str, name: str, n: int) -> DataFram
 def credits(spark: SparkSession, sf_dir: str, n_actors: int = 10,
             n_directors: int = 2) -> DataFrame:
     """(doc_id, actors, directors) arrays ordered by customer / supplier key."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_small(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey",
+                                                              "l_suppkey"))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
