@@ -8,7 +8,8 @@ mean, so a constant rater centres to exact zeros), ``c = r - mean`` and
     sim(a, b) = sum_f c_af * c_bf / (norm_a + EPS) / (norm_b + EPS)
 
 Rows with ``c == 0`` add nothing to any sum and are dropped before the
-self-join.  The self-join on ``feature`` emits one row per co-rating pair;
+self-join.  The self-join on ``feature`` emits one row per unordered
+co-rating pair (mirrored after summing);
 features rated by more than ``chunk`` entities are split two-dimensionally
 (salt on both sides) so no task handles more than about ``chunk^2`` pairs
 of one feature.  Pair rows are summed with partial aggregation.
@@ -77,18 +78,30 @@ def similarities(cent: DataFrame, entity: str, feature: str,
                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """(a, b, sim) for every co-rated pair a != b with ``a`` in ``targets``.
 
-    ``targets`` (one column named ``entity``) restricts the left side before
-    the join -- the semi-join reduction of only scoring entities that need
-    neighbours.  Pairs whose dot product is 0 still appear with sim 0.
+    Similarity is symmetric, so the self-join emits each *unordered* pair once
+    (``a < b``, kept when either side is a target), sums it, and mirrors the
+    sum to both orders afterwards -- half the pair rows through the dominant
+    join, shuffle and aggregate.  ``targets`` (one column named ``entity``)
+    restricts the output to entities that need neighbours.  Pairs whose dot
+    product is 0 still appear with sim 0.
     """
-    left, right, keys = _salted_sides(cent, entity, feature, chunk)
-    if targets is not None:
-        left = left.join(targets.select(entity).distinct(), entity, "left_semi")
-    lcols = [F.col(entity).alias("a"), F.col("cn").alias("cn_a")] + [F.col(k) for k in keys]
-    rcols = [F.col(entity).alias("b"), F.col("cn").alias("cn_b")] + [F.col(k) for k in keys]
-    pairs = (left.select(*lcols).join(right.select(*rcols), keys)
-             .where(F.col("a") != F.col("b")))
-    return pairs.groupBy("a", "b").agg(F.sum(F.col("cn_a") * F.col("cn_b")).alias("sim"))
+    if targets is None:
+        flagged = cent.withColumn("_t", F.lit(True))
+    else:
+        tf = targets.select(entity).distinct().withColumn("_t", F.lit(True))
+        flagged = (cent.join(broadcast_if_small(tf), entity, "left")
+                   .withColumn("_t", F.coalesce(F.col("_t"), F.lit(False))))
+    left, right, keys = _salted_sides(flagged, entity, feature, chunk)
+    lcols = [F.col(entity).alias("a"), F.col("cn").alias("cn_a"), F.col("_t").alias("_ta")]
+    rcols = [F.col(entity).alias("b"), F.col("cn").alias("cn_b"), F.col("_t").alias("_tb")]
+    pairs = (left.select(*lcols, *keys).join(right.select(*rcols, *keys), keys)
+             .where((F.col("a") < F.col("b")) & (F.col("_ta") | F.col("_tb"))))
+    sums = pairs.groupBy("a", "b").agg(F.sum(F.col("cn_a") * F.col("cn_b")).alias("sim"),
+                                       F.max("_ta").alias("_ta"), F.max("_tb").alias("_tb"))
+    both = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y"), F.col("_ta").alias("k")),
+                   F.struct(F.col("b").alias("x"), F.col("a").alias("y"), F.col("_tb").alias("k")))
+    return (sums.select(F.explode(both).alias("p"), "sim").where(F.col("p.k"))
+            .select(F.col("p.x").alias("a"), F.col("p.y").alias("b"), "sim"))
 
 
 def top_k(sims: DataFrame, k: int, n_entities: Column | int) -> DataFrame:
