@@ -27,6 +27,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -62,3 +63,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in Python workers (once per SparkContext).
+
+    Functions shipped to tasks (pandas UDFs, map/reduce user code) are pickled
+    by reference, so workers must import the package; this zips it and hands it
+    to ``addPyFile``, which serves it to every executor -- the same thing
+    ``spark-submit --py-files`` does.
+    """
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="tessera-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    sc._tessera_shipped = True
