@@ -20,7 +20,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", driver_memory)
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if event_log_dir:
         b = (b.config("spark.eventLog.enabled", "true")
              .config("spark.eventLog.dir", event_log_dir))

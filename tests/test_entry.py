@@ -33,3 +33,10 @@ def test_oracle_matches_at_smallest_scale(spark, name):
     assert sorted(df.columns) == sorted(cols)
     got = sorted(tuple(r[c] for c in sorted(cols)) for r in df.collect())
     assert got == want
+
+
+def test_flagship_plan_properties(spark):
+    p = E.queries()["user_cf_predict"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert "WindowGroupLimit" in p                 # top-k trimmed before the shuffle
+    assert "Python" not in p                       # no Python evaluation in the plan
