@@ -65,7 +65,7 @@ def q_catalog_links_roundtrip(spark, sf):
 
 @register("postings_lists", O.with_ctes("""
 SELECT shard, term, CAST(floor(doc_id / 100000) AS BIGINT) AS block,
-       to_json(list({'doc_id': doc_id, 'tf': tf} ORDER BY doc_id)) AS postings
+       CAST(to_json(list({'doc_id': doc_id, 'tf': tf} ORDER BY doc_id)) AS VARCHAR) AS postings
 FROM postings GROUP BY shard, term, CAST(floor(doc_id / 100000) AS BIGINT)""", "postings"))
 def q_postings_lists(spark, sf):
     """AGG-14: nested postings per (shard, term, doc-id block), as JSON text."""

@@ -269,10 +269,10 @@ def q_snippet(spark, sf):
 
 @register("search_json", O.with_ctes("""
 SELECT q.query_id,
-       to_json({'num_results': COUNT(r.doc_id),
+       CAST(to_json({'num_results': COUNT(r.doc_id),
                 'results': COALESCE(list({'imdbID': r.doc_id, 'title': r.title, 'url': r.url,
                                           'snippet': r.snippet} ORDER BY r.rank)
-                                    FILTER (WHERE r.doc_id IS NOT NULL), [])}) AS json
+                                    FILTER (WHERE r.doc_id IS NOT NULL), [])}) AS VARCHAR) AS json
 FROM pq q LEFT JOIN plot_res r ON q.query_id = r.query_id
 GROUP BY q.query_id""", "pq", "plot_res"))
 def q_search_json(spark, sf):
