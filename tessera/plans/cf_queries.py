@@ -90,6 +90,23 @@ FROM ({body}) z GROUP BY split""",
                        "evalpairs", *names)
 
 
+def _item_mse_sql():
+    body, names = O.cf_predict_sql("item_id", ITEM_K, "evalpairs", True,
+                                   select="q.split, q.rating", digits=None)
+    return O.with_ctes(f"""
+SELECT split, COUNT(*) AS n_pairs, round(AVG(POWER(pred - rating, 2)), 6) AS mse
+FROM ({body}) z GROUP BY split""", "evalpairs", *names)
+
+
+@register("item_cf_mse", _item_mse_sql())
+def q_item_cf_mse(spark, sf):
+    """REC-10 / REC-12: validation and test MSE of bias-adjusted item-CF."""
+    s, train, pairs = _prepared(spark, sf)
+    pred = NB.predict(train, pairs, k=ITEM_K, entity="item_id",
+                      n_entities=n_distinct(s, "item_id"))
+    return evaluate.mse(pred, by=["split"]).select("split", "n_pairs", rnd("mse").alias("mse"))
+
+
 @register("user_cf_mse", _mse_sql())
 def q_user_cf_mse(spark, sf):
     """REC-11 / REC-12: validation and test MSE of bias-adjusted user-CF."""

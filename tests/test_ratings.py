@@ -73,3 +73,21 @@ def test_size_estimate_and_bounded_broadcast(spark):
         .optimizedPlan().toString()
     big = spark.range(10)
     assert broadcast_if_small(big, max_bytes=1) is big
+
+
+def test_random_split_is_a_partition(spark):
+    df = _ratings(spark, [(u, i, 1.0) for u in range(30) for i in range(30)])
+    parts = rt.random_split(df, (0.8, 0.1, 0.1), seed=1)
+    assert sum(p.count() for p in parts) == df.count()
+    keys = [set((r.user_id, r.item_id) for r in p.collect()) for p in parts]
+    assert not (keys[0] & keys[1]) and not (keys[0] & keys[2]) and not (keys[1] & keys[2])
+
+
+def test_csv_readers_keep_quotes_and_zero_padded_ids(spark, tmp_path):
+    from tessera.sources import files
+    (tmp_path / "movies.csv").write_text(
+        'movieId,title,genres\n1,"Movie, The (1999)",Drama|War\n2,Plain,(no genres listed)\n')
+    (tmp_path / "links.csv").write_text("movieId,imdbId,tmdbId\n1,0114709,862\n")
+    m = files.read_movies_csv(spark, str(tmp_path / "movies.csv")).orderBy("item_id").collect()
+    assert m[0].title == "Movie, The (1999)" and m[0].genres == "Drama|War"
+    assert files.read_links_csv(spark, str(tmp_path / "links.csv")).first().imdb_id == "0114709"
