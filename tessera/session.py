@@ -76,7 +76,10 @@ def ship_package(spark: SparkSession) -> None:
     """
     import os
     import zipfile
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the package is deployed with the client
+        return
     if getattr(sc, "_tessera_shipped", False):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
