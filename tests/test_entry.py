@@ -40,3 +40,9 @@ def test_flagship_plan_properties(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "WindowGroupLimit" in p                 # top-k trimmed before the shuffle
     assert "Python" not in p                       # no Python evaluation in the plan
+
+
+def test_user_average_mse_matches_fixture_sanity_value(spark):
+    """FIXTURES.md build-step-0 value: REC-2 test MSE at sf0.001 = 2.1167976833."""
+    rows = {r.split: r.mse for r in E.queries()["baseline_user_avg_mse"](spark, SF001).collect()}
+    assert abs(rows["test"] - 2.1167976833) < 1e-6
