@@ -46,3 +46,10 @@ def test_user_average_mse_matches_fixture_sanity_value(spark):
     """FIXTURES.md build-step-0 value: REC-2 test MSE at sf0.001 = 2.1167976833."""
     rows = {r.split: r.mse for r in E.queries()["baseline_user_avg_mse"](spark, SF001).collect()}
     assert abs(rows["test"] - 2.1167976833) < 1e-6
+
+
+def test_tokenizer_counts_match_fixture_measurements(spark):
+    """FIXTURES.md: lowercased documents.text at sf0.001 has 78,403 tokens, 22,689 distinct."""
+    wc = E.queries()["mapreduce_wordcount"](spark, SF001)
+    assert wc.count() == 22689
+    assert wc.agg({"value": "sum"}).first()[0] == 78403
