@@ -53,3 +53,13 @@ def test_tokenizer_counts_match_fixture_measurements(spark):
     wc = E.queries()["mapreduce_wordcount"](spark, SF001)
     assert wc.count() == 22689
     assert wc.agg({"value": "sum"}).first()[0] == 78403
+
+
+def test_split_and_catalog_counts_match_fixture_measurements(spark):
+    """FIXTURES.md at sf0.001: 5,382 ratings, 150 users, 200 items, splits
+    4,308 / 546 / 528, and 118 ratings on items without genres."""
+    st = {r.split: (r.n_users, r.n_items, r.n_ratings)
+          for r in E.queries()["dataset_stats"](spark, SF001).collect()}
+    assert st["all"] == (150, 200, 5382)
+    assert (st["train"][2], st["valid"][2], st["test"][2]) == (4308, 546, 528)
+    assert E.queries()["unknown_items"](spark, SF001).count() == 118
