@@ -63,3 +63,10 @@ def test_split_and_catalog_counts_match_fixture_measurements(spark):
     assert st["all"] == (150, 200, 5382)
     assert (st["train"][2], st["valid"][2], st["test"][2]) == (4308, 546, 528)
     assert E.queries()["unknown_items"](spark, SF001).count() == 118
+
+
+def test_leave_n_out_matches_fixture_measurements(spark):
+    """FIXTURES.md at sf0.001: 2 of 150 users have fewer than 10 ratings."""
+    lno = E.queries()["leave_n_out"](spark, SF001)
+    assert lno.select("user_id").distinct().count() == 148
+    assert lno.where("split = 'test'").count() == 148 * 10
