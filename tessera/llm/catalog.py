@@ -1,5 +1,6 @@
 """All registered queries of this subpackage."""
 
+from tessera.llm import phrase_dedup as _op6  # noqa: F401
 from tessera.llm import suffix_dedup as _op4  # noqa: F401
 from tessera.llm.common import REGISTRY
 

@@ -155,7 +155,25 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
+def word_bounds_by_text(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`word_bounds` over texts ``data[offsets[i]:offsets[i + 1]]`` laid end to end."""
+    low, high = int(offsets[0]), int(offsets[-1])
+    inside = np.concatenate([[False], ~SEPARATORS[data[low:high]], [False]])
+    change = inside[1:] != inside[:-1]
+    border = offsets[1:-1] - low
+    both = border[inside[1:][border] & inside[:-1][border]] if high > low else border[:0]
+    starts = np.flatnonzero(change & inside[1:])
+    ends = np.flatnonzero(change & inside[:-1])
+    if len(both):  # a text ends and the next begins inside what looks like one word
+        both = np.unique(both)
+        starts, ends = np.union1d(starts, both), np.union1d(ends, both)
+    return starts + low, ends + low
+
+
 def word_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit value for each word, equal for equal words."""
-    prefix = prefix_hash(mix64(data.astype(np.uint64) + np.uint64(BASE)))
-    return span_hash(prefix, starts, ends)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    low = starts[0]
+    prefix = prefix_hash(mix64(data[low:ends[-1]].astype(np.uint64) + np.uint64(BASE)))
+    return span_hash(prefix, starts - low, ends - low)
