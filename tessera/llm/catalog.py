@@ -3,6 +3,8 @@
 from tessera.llm import phrase_dedup as _op6  # noqa: F401
 from tessera.llm import piece_codec as _op8  # noqa: F401
 from tessera.llm import simhash_dedup as _op7  # noqa: F401
+from tessera.llm import quality_rules as _op9  # noqa: F401
+from tessera.llm import url_filter as _op5  # noqa: F401
 from tessera.llm import suffix_dedup as _op4  # noqa: F401
 from tessera.llm.common import REGISTRY
 
