@@ -1,5 +1,6 @@
 """All registered queries of this subpackage."""
 
+from tessera.llm import kneser_ney as _op10  # noqa: F401
 from tessera.llm import phrase_dedup as _op6  # noqa: F401
 from tessera.llm import piece_codec as _op8  # noqa: F401
 from tessera.llm import simhash_dedup as _op7  # noqa: F401
