@@ -41,12 +41,12 @@ from tessera.llm import windows as W
 from tessera.llm.common import REGISTRY, drop_saved, saved, slices, table, texts_of
 
 LENGTH = 20
-GRAM = 6
+GRAM = 5
 SHARD_PHRASES = 50_000
 SALT_BYTES = 8 << 20
 
-RUN = pa.struct([("anchor", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
-RUN_DDL = "struct<anchor long, first long, last long>"
+#: A run is kept as first * SPAN + (last - first): its order is that of first.
+SPAN = 64
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -86,91 +86,110 @@ def _phrases(length: int, gram: int):
     return run
 
 
-STRETCH_DDL = ("shard long, tag int, rid long, ord long, base long, words string, "
-               f"runs array<{RUN_DDL}>")
-STRETCH = pa.schema([("shard", pa.int64()), ("tag", pa.int32()), ("rid", pa.int64()), ("ord", pa.int64()),
-                     ("base", pa.int64()), ("words", pa.string()), ("runs", pa.list_(RUN))])
+STRETCH_DDL = "shard long, tag int, rid long, ord long, base long, size long, words string, runs binary"
+STRETCH = pa.schema([("shard", pa.int64()), ("tag", pa.int32()), ("rid", pa.int64()), ("ord", pa.int64()), ("base", pa.int64()),
+                     ("size", pa.int64()), ("words", pa.string()), ("runs", pa.binary())])
 
 
 def _stretches(length: int, gram: int):
-    """Tag 0: a phrase, from the document that owns it.  Tag 1: a stretch to search."""
+    """Tag 0: a phrase, from the document that owns it.  Tag 1: a stretch to search, with its runs
+    (anchor, first, last) as positions in the document."""
     def run(batches):
         for batch in slices(batches, "text", 1 << 20):
             data, offsets = texts_of(batch.column("text"))
             (row, anchor, first, last, core), begin, end, base = _runs(data, offsets, length, gram)
-            content = data.tobytes()
             rids, ords = batch.column("rid").to_pylist(), batch.column("ord").to_pylist()
             bound = np.searchsorted(row, np.arange(batch.num_rows + 1))
             out = []
             for i, keys in enumerate(batch.column("keys").to_pylist()):
-                shard_of = {k["core"]: (k["shard"], k["own"]) for k in keys}
-                word = lambda a, z: b" ".join(
-                    content[s:e] for s, e in zip(begin[base[i] + a:base[i] + z].tolist(), end[base[i] + a:base[i] + z].tolist())).decode()
-                open_, told = {}, set()
-                for k in range(bound[i], bound[i + 1]):
-                    found = shard_of.get(int(core[k]))
-                    if found is None:
-                        continue
-                    shard, own = found
-                    a, f, z = int(anchor[k]), int(first[k]), int(last[k])
-                    if own and int(core[k]) not in told:
-                        told.add(int(core[k]))
-                        out.append((shard, 0, rids[i], ords[i], 0, word(a, a + gram), []))
-                    held = open_.get(shard)
-                    if held is not None and f <= held[1]:
-                        held[1] = max(held[1], z + length)
-                        held[2].append((a, f, z))
-                    else:
-                        if held is not None:
-                            out.append((shard, 1, rids[i], ords[i], held[0], word(held[0], held[1]), held[2]))
-                        open_[shard] = [f, z + length, [(a, f, z)]]
-                out += [(s, 1, rids[i], ords[i], h[0], word(h[0], h[1]), h[2]) for s, h in open_.items()]
+                low, high = bound[i], bound[i + 1]
+                known = np.array([k["core"] for k in keys], np.int64)
+                order = np.argsort(known)
+                known = known[order]
+                shard = np.array([k["shard"] for k in keys], np.int64)[order]
+                own = np.array([k["own"] for k in keys], bool)[order]
+                at = np.minimum(np.searchsorted(known, core[low:high]), len(known) - 1)
+                here = np.flatnonzero(known[at] == core[low:high])
+                at, here = at[here], here + low
+                text = b" ".join(data[offsets[i]:offsets[i + 1]].tobytes().split())
+                sizes = (end - begin)[base[i]:base[i + 1] if i + 1 < len(base) else len(begin)]
+                ends = np.cumsum(sizes + 1) - 1
+                word = lambda a, z: text[(ends[a - 1] + 1 if a else 0):ends[z - 1]].decode()
+                mine, which = np.unique(at, return_index=True)
+                for k in which[own[mine]].tolist():
+                    a = anchor[here[k]]
+                    out.append((int(shard[at[k]]), 0, rids[i], ords[i], 0, gram, word(a, a + gram), b""))
+                for s in np.unique(shard[at]).tolist():
+                    runs = here[shard[at] == s]
+                    f, z = first[runs], last[runs] + length
+                    cut = np.flatnonzero(np.concatenate([[True], f[1:] > np.maximum.accumulate(z)[:-1]]))
+                    for j, k in zip(cut.tolist(), [*cut[1:].tolist(), len(runs)]):
+                        part = np.stack([anchor[runs[j:k]], f[j:k], last[runs[j:k]]])
+                        a, n = int(f[j]), int(z[j:k].max() - f[j])
+                        out.append((s, 1, rids[i], ords[i], a, n, word(a, a + n), part.tobytes()))
             if out:
-                columns = list(zip(*out))
-                columns[6] = [[dict(zip(("anchor", "first", "last"), r)) for r in runs] for runs in columns[6]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, STRETCH)], schema=STRETCH)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), STRETCH)], schema=STRETCH)
     return run
 
 
-NODES = pa.schema([(c, pa.int64()) for c in ("rid", "ord", "anchor", "first", "last", "core", "hull")])
+NODES = pa.schema([(c, pa.int64()) for c in ("rid", "ord", "span", "core", "hull")])
 NODE_DDL = ", ".join(f"{f.name} long" for f in NODES)
 
 
-def _hash_words(words: str) -> np.ndarray:
-    data = np.frombuffer(words.encode(), np.uint8)
-    return W.prefix_hash(W.word_values(data, *W.word_bounds(data)))
+def _laid_out(words: list[str]):
+    """Stretches in one text, a line each with a space around every word; each one's first word; the hashes."""
+    joined = b" " + b" \n ".join(w.encode() for w in words) + b" "
+    data = np.frombuffer(joined, np.uint8)
+    begin, end = W.word_bounds(data)
+    lines = np.concatenate([[0], np.flatnonzero(data == 10)])
+    return joined, begin, np.searchsorted(begin, lines), W.prefix_hash(W.word_values(data, begin, end))
 
 
 def _search(length: int, gram: int):
-    """Compile each shard's phrases, then stream its stretches (rows come sorted by shard, salt, tag)."""
+    """Compile each shard's phrases, then stream its stretches (rows come sorted by shard, salt, tag).
+
+    The automaton reads bytes as characters, so its positions are byte offsets.
+    """
+    def found(automaton, rows):
+        rid, ord_, base, words, runs = zip(*rows)
+        joined, begin, head, prefix = _laid_out(words)
+        hits = np.array([e - n + 2 for e, n in automaton.iter(joined.decode("latin-1"))], np.int64)
+        hits = np.unique(np.searchsorted(begin, hits))
+        runs = [np.frombuffer(r, np.int64).reshape(3, -1) for r in runs]
+        of = np.repeat(np.arange(len(runs)), [r.shape[1] for r in runs])
+        anchor, first, last = np.concatenate(runs, axis=1)
+        shift = (head - np.array(base))[of]
+        there = np.minimum(np.searchsorted(hits, anchor + shift), len(hits) - 1) if len(hits) else np.zeros(len(of), np.int64)
+        sure = hits[there] == anchor + shift if len(hits) else np.zeros(len(of), bool)
+        anchor, first, last, shift, of = (x[sure] for x in (anchor, first, last, shift, of))
+        core = W.span_hash(prefix, anchor + shift, anchor + shift + gram)
+        hull = W.span_hash(prefix, first + shift, last + shift + length) ^ W.mix64((anchor - first).astype(np.uint64))
+        columns = (np.array(rid)[of], np.array(ord_)[of], first * SPAN + last - first, core.view(np.int64), hull.view(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=NODES)
+
     def run(batches):
-        shard, automaton, ready = None, None, False
+        shard, automaton, ready, rows, size = None, None, False, [], 0
         for batch in batches:
-            out = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "salt", "tag", "rid", "ord", "base", "words", "runs"))):
-                if row[:2] != shard:
-                    shard, automaton, ready = row[:2], ahocorasick.Automaton(), False
-                if row[2] == 0:
-                    pattern = f" {row[6]} "
+            for here, salt, tag, rid, ord_, base, words, runs in zip(
+                    *(batch.column(c).to_pylist() for c in ("shard", "salt", "tag", "rid", "ord", "base", "words", "runs"))):
+                if (here, salt) != shard:
+                    if rows:
+                        yield found(automaton, rows)
+                    shard, automaton, ready, rows, size = (here, salt), ahocorasick.Automaton(), False, [], 0
+                if tag == 0:
+                    pattern = f" {words} ".encode().decode("latin-1")
                     automaton.add_word(pattern, len(pattern))
                     continue
                 if not ready:
                     automaton.make_automaton()
                     ready = True
-                text = f" {row[6]} "
-                gaps = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32)
-                ends = [e - n + 1 for e, n in automaton.iter(text)]
-                hits = set((np.searchsorted(gaps, ends) + row[5]).tolist())
-                runs = [r for r in row[7] if r["anchor"] in hits]
-                if not runs:
-                    continue
-                a, f, z = (np.array([r[k] for r in runs], np.int64) for k in ("anchor", "first", "last"))
-                prefix = _hash_words(row[6])
-                core = W.span_hash(prefix, a - row[5], a - row[5] + gram)
-                hull = W.span_hash(prefix, f - row[5], z - row[5] + length) ^ W.mix64((a - f).astype(np.uint64))
-                out.append((np.full(len(a), row[3]), np.full(len(a), row[4]), a, f, z, core.view(np.int64), hull.view(np.int64)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=NODES)
+                rows.append((rid, ord_, base, words, runs))
+                size += len(words)
+                if size >= 1 << 20:
+                    yield found(automaton, rows)
+                    rows, size = [], 0
+        if rows:
+            yield found(automaton, rows)
     return run
 
 
@@ -178,15 +197,20 @@ def _windows(length: int):
     """One row for each window of the open nodes of a stretch."""
     def run(batches):
         for batch in slices(batches, "words", 1 << 20):
-            out = []
-            for rid, ord_, base, words, nodes in zip(*(batch.column(c).to_pylist() for c in ("rid", "ord", "base", "words", "nodes"))):
-                prefix = _hash_words(words)
-                first, last = (np.array([n[k] for n in nodes], np.int64) for k in ("first", "last"))
-                start = np.unique(W.ranges(first, last - first + 1))
-                key = W.span_hash(prefix, start - base, start - base + length)
-                out.append((np.full(len(start), rid), np.full(len(start), ord_), start, key.view(np.int64)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["rid", "ord", "first", "key"])
+            _, _, head, prefix = _laid_out(batch.column("words").to_pylist())
+            spans = [np.array(x, np.int64) for x in batch.column("open").to_pylist()]
+            of = np.repeat(np.arange(len(spans)), [len(x) for x in spans])
+            base, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("base", "size"))
+            span = np.concatenate(spans)
+            first, more = span // SPAN, span % SPAN
+            inside = (first >= base[of]) & (first + more + length <= (base + size)[of])
+            first, more, of = first[inside], more[inside], of[inside]
+            start = W.ranges(first, more + 1)
+            of = np.repeat(of, more + 1)
+            at = start + (head - base)[of]
+            key = W.span_hash(prefix, at, at + length)
+            rid, ord_ = (batch.column(c).to_numpy(zero_copy_only=False)[of] for c in ("rid", "ord"))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (rid, ord_, start, key.view(np.int64))], ["rid", "ord", "first", "key"])
     return run
 
 
@@ -214,28 +238,33 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tupl
     return nodes, stretches
 
 
+def _check(length: int, gram: int) -> None:
+    if not 1 <= gram <= length or length - gram >= SPAN:
+        raise ValueError(f"need 1 <= gram <= length < gram + {SPAN}")
+
+
 def later_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(rid, spans): window starts [first, last] of each text that occur earlier."""
+    """(rid, spans): runs of window starts of each text that occur earlier, packed by ``SPAN``."""
+    _check(length, gram)
     nodes, stretches = occurrences(docs, length, gram)
     classes = saved(nodes.groupBy("core", "hull").agg(
-        F.count("*").alias("n"), F.min(F.struct("ord", "first", "rid", "last")).alias("least")), "op6-classes")
-    whole = saved(nodes.join(classes.where("n > 1").select("core", "hull", F.col("least.ord").alias("o"), F.col("least.first").alias("f")),
+        F.count("*").alias("n"), F.min(F.struct("ord", "span", "rid")).alias("least")), "op6-classes")
+    whole = saved(nodes.join(classes.where("n > 1").select("core", "hull", F.col("least.ord").alias("o"), F.col("least.span").alias("s")),
                              ["core", "hull"])
-                  .where("ord <> o OR first <> f").select("rid", "first", "last"), "op6-whole")
+                  .where("ord <> o OR span <> s").select("rid", "span"), "op6-whole")
     drop_saved(nodes)
-    mixed = classes.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core")
+    mixed = saved(classes.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core"), "op6-mixed")
     left = saved(classes.join(mixed, "core").groupBy(F.col("least.rid").alias("rid"))
-                 .agg(F.collect_set(F.struct("least.first", "least.last")).alias("open")), "op6-open")
-    drop_saved(classes)
-    singles = saved(stretches.where("tag = 1").join(left.hint("shuffle_hash"), "rid").select(
-        "rid", "ord", "base", "words", F.expr(
-            f"filter(open, n -> exists(runs, r -> r.first = n.first AND r.last = n.last))").alias("nodes"))
-        .where("size(nodes) > 0").mapInArrow(_windows(length), "rid long, ord long, first long, key long"), "op6-windows")
+                 .agg(F.collect_set("least.span").alias("open")), "op6-open")
+    drop_saved(classes, mixed)
+    singles = saved(stretches.where("tag = 1").select("rid", "ord", "base", "size", "words").join(left.hint("shuffle_hash"), "rid")
+                    .where(f"exists(open, n -> n div {SPAN} >= base AND n div {SPAN} < base + size)")
+                    .mapInArrow(_windows(length), "rid long, ord long, first long, key long"), "op6-windows")
     drop_saved(stretches, left)
     least = (singles.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("ord", "first")).alias("least"))
              .where("n > 1").select("key", F.col("least.ord").alias("o"), F.col("least.first").alias("f")))
-    single = singles.join(least, "key").where("ord <> o OR first <> f").select("rid", "first", F.col("first").alias("last"))
-    return whole.unionByName(single).groupBy("rid").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    single = singles.join(least, "key").where("ord <> o OR first <> f").select("rid", (F.col("first") * SPAN).alias("span"))
+    return whole.unionByName(single).groupBy("rid").agg(F.collect_set("span").alias("spans"))
 
 
 def _apply(length: int, keep_text: bool):
@@ -246,7 +275,7 @@ def _apply(length: int, keep_text: bool):
                 words = (text or "").encode().split()
                 keep = np.ones(len(words), bool)
                 for s in spans or ():
-                    keep[s["first"]:s["last"] + length] = False
+                    keep[s // SPAN:s // SPAN + s % SPAN + length] = False
                 kept = b" ".join(w for w, k in zip(words, keep.tolist()) if k) if spans else b" ".join(words)
                 out.append((len(words), int(len(words) - keep.sum()), hashlib.sha256(kept).hexdigest()) + (kept.decode(),) * keep_text)
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
