@@ -101,13 +101,14 @@ def _stretches(length: int, gram: int):
             rids, ords = batch.column("rid").to_pylist(), batch.column("ord").to_pylist()
             bound = np.searchsorted(row, np.arange(batch.num_rows + 1))
             out = []
-            for i, keys in enumerate(batch.column("keys").to_pylist()):
+            cores, places = (batch.column(c) for c in ("cores", "places"))
+            edge = np.concatenate([[0], np.cumsum(cores.value_lengths().to_numpy(zero_copy_only=False))])
+            cores, places = (x.flatten().to_numpy(zero_copy_only=False) for x in (cores, places))
+            for i in range(batch.num_rows):
                 low, high = bound[i], bound[i + 1]
-                known = np.array([k["core"] for k in keys], np.int64)
-                order = np.argsort(known)
-                known = known[order]
-                shard = np.array([k["shard"] for k in keys], np.int64)[order]
-                own = np.array([k["own"] for k in keys], bool)[order]
+                known, order = np.unique(cores[edge[i]:edge[i + 1]], return_index=True)
+                place = places[edge[i]:edge[i + 1]][order]
+                shard, own = place >> 1, (place & 1).astype(bool)
                 at = np.minimum(np.searchsorted(known, core[low:high]), len(known) - 1)
                 here = np.flatnonzero(known[at] == core[low:high])
                 at, here = at[here], here + low
@@ -221,11 +222,11 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tupl
     recurring = saved(phrases.groupBy("core").agg(F.count("*").alias("n"), F.min("rid").alias("owner"))
                       .where("n > 1").select("core", "owner"), "op6-recurring")
     shards = max(1, -(-recurring.count() // SHARD_PHRASES))
-    keys = saved(phrases.join(recurring, "core").groupBy("rid").agg(F.collect_set(F.struct(
-        "core", F.pmod(F.xxhash64("owner"), F.lit(shards)).alias("shard"), (F.col("owner") == F.col("rid")).alias("own")))
-        .alias("keys")), "op6-keys")
+    place = F.pmod(F.xxhash64("owner"), F.lit(shards)) * 2 + (F.col("owner") == F.col("rid")).cast("long")
+    keys = saved(phrases.join(recurring, "core").select("rid", "core", place.alias("place")).groupBy("rid")
+                 .agg(F.collect_list("core").alias("cores"), F.collect_list("place").alias("places")), "op6-keys")
     drop_saved(phrases, recurring)
-    stretches = saved(rows.join(keys.hint("shuffle_hash"), "rid").select("rid", "ord", "text", "keys")
+    stretches = saved(rows.join(keys.hint("shuffle_hash"), "rid").select("rid", "ord", "text", "cores", "places")
                       .mapInArrow(_stretches(length, gram), STRETCH_DDL), "op6-stretches")
     drop_saved(keys)
     salts = (stretches.groupBy("shard").agg(F.sum(F.length("words")).alias("size"))
