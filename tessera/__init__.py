@@ -8,7 +8,6 @@ collects to the driver.  Sub-packages:
 * ``operators`` -- ratings, baselines, neighbourhood CF, content, factors,
                    inverted index, search, generic map/reduce
 * ``plans``     -- the named queries and their DuckDB oracle SQL
-* ``streaming`` -- incremental rating statistics over a file stream
 """
 
 __version__ = "0.1.0"

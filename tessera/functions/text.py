@@ -43,9 +43,13 @@ def person_list(names) -> Column:
 
 
 def _alternation(terms) -> Column:
-    """Literal, case-insensitive alternation of the non-empty terms."""
+    """Literal, case-insensitive alternation of the non-empty terms.
+
+    A ``\\E`` inside a term would end the quotation, so it is quoted apart.
+    """
     quoted = F.transform(F.filter(_col(terms), lambda t: F.length(t) > 0),
-                         lambda t: F.concat(F.lit(r"\Q"), t, F.lit(r"\E")))
+                         lambda t: F.concat(F.lit(r"\Q"), F.replace(t, F.lit(r"\E"), F.lit(r"\E\\E\Q")),
+                                            F.lit(r"\E")))
     return F.concat(F.lit("(?iu)("), F.array_join(quoted, "|"), F.lit(")"))
 
 

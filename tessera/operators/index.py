@@ -131,9 +131,10 @@ def write_index(post: DataFrame, idf_df: DataFrame, store: DataFrame, path: str)
 
     Postings are range-partitioned on (shard, term) -- many files per shard,
     each covering a term range -- so Parquet min/max statistics prune files
-    and row groups for term lookups, and no shard is written by one task.
+    and row groups for term lookups.  ``doc_id`` is part of the range key, so
+    the postings of a very frequent term spread over several files.
     """
-    (post.repartitionByRange("shard", "term").sortWithinPartitions("shard", "term")
+    (post.repartitionByRange("shard", "term", "doc_id").sortWithinPartitions("shard", "term", "doc_id")
      .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/postings"))
     idf_df.write.mode("overwrite").parquet(f"{path}/idf")
     store.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/docstore")

@@ -49,7 +49,7 @@ def map_reduce(df: DataFrame, mapper, reducer, n_reducers: int, out_schema: str,
             yield kv[kv_cols]
 
     mapped = df.mapInPandas(map_side, kv_schema)
-    shuffled = (mapped.repartition(n_reducers, shard_of("key", n_reducers))
+    shuffled = (mapped.repartitionById(n_reducers, shard_of("key", n_reducers).cast("int"))
                 .sortWithinPartitions("key"))
 
     def reduce_side(it):

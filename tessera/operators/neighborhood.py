@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators import similarity as S
+from tessera.operators.ratings import dense_index
 from tessera.plans.sizing import broadcast_if_small
 from tessera.session import cut_lineage
 
@@ -39,7 +40,8 @@ def neighbours(train: DataFrame, entity: str, k: int, n_entities,
     feature = _other(entity)
     st = stats if stats is not None else S.entity_stats(train, entity)
     cent = cut_lineage(S.centered(train, entity, feature, st))
-    sims = S.similarities(cent, entity, feature, targets, chunk)
+    # read twice below (ranking and partner counts): the pair join runs once
+    sims = cut_lineage(S.similarities(cent, entity, feature, targets, chunk))
     return cent, st, S.top_k(sims, k, n_entities)
 
 
@@ -84,13 +86,35 @@ def predict(train: DataFrame, targets: DataFrame, k: int = 100,
             .drop("_num", "_den"))
 
 
+def _first_untaken(users: DataFrame, taken: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """(user_id, item_id): the first ``n`` items by id that a user has no row for in ``taken``."""
+    number = dense_index(items, ["item_id"], "ix")
+    total = number.select(F.count(F.lit(1)).alias("m"))
+    by_ix = W.partitionBy("user_id").orderBy("ix")
+    have = taken.join(number, "item_id").select("user_id", "ix").withColumn("before", F.row_number().over(by_ix) - 1) \
+        .withColumn("prev", F.coalesce(F.lag("ix").over(by_ix), F.lit(-1)))
+    # items between two taken ones, where fewer than n free ones lie further ahead
+    inner = have.where((F.col("ix") - F.col("prev") > 1) & (F.col("prev") + 1 - F.col("before") < n)) \
+        .select("user_id", (F.col("prev") + 1).alias("a"), (F.col("ix") - 1).alias("z"))
+    ends = users.join(taken.join(number, "item_id").groupBy("user_id").agg(F.max("ix").alias("top")), "user_id", "left") \
+        .crossJoin(F.broadcast(total)).select("user_id", (F.coalesce("top", F.lit(-1)) + 1).alias("a"), (F.col("m") - 1).alias("z"))
+    free = inner.unionByName(ends.where("a <= z")) \
+        .select("user_id", F.explode(F.sequence("a", F.least("z", F.col("a") + n - 1))).alias("ix"))
+    first = free.withColumn("_r", F.row_number().over(by_ix)).where(F.col("_r") <= n)
+    return first.join(number, "ix").select("user_id", "item_id")
+
+
 def recommend(train: DataFrame, users: DataFrame, k: int = 100, n: int = 10,
-              n_entities=None, chunk: int = S.DEFAULT_CHUNK) -> DataFrame:
+              n_entities=None, chunk: int = S.DEFAULT_CHUNK,
+              items: DataFrame | None = None) -> DataFrame:
     """REC-22: top-``n`` unrated items per user by the bias-adjusted user-CF score.
 
-    Candidates are the items the user's neighbours rated (every other item
-    scores exactly the user's average); the top-n is a ``row_number() <= n``
-    per user, trimmed map-side.
+    Every item of ``items`` (default: the items of ``train``) the user has not
+    rated is a candidate.  Those no neighbour rated score exactly the user's
+    average; only the first ``n`` of them by item_id can reach the list, and
+    they are found as gaps in the user's sorted item numbers, without a
+    product of users and items.  The top-n is a ``row_number() <= n`` per user,
+    trimmed map-side.
     """
     if n_entities is None:
         n_entities = train.select(F.countDistinct("user_id")).scalar()
@@ -102,8 +126,16 @@ def recommend(train: DataFrame, users: DataFrame, k: int = 100, n: int = 10,
             .groupBy("user_id", "item_id")
             .agg((F.sum(F.col("sim") * F.col("c")) / (F.sum("sim") + F.lit(EPS))).alias("_r"),
                  F.sum("sim").alias("den")))
-    scored = (cand.join(broadcast_if_small(st.select("user_id", "avg")), "user_id")
+    cand = cut_lineage(cand)
+    avg = st.select("user_id", "avg")
+    scored = (cand.join(broadcast_if_small(avg), "user_id")
               .withColumn("pred", F.col("avg") + F.col("_r")).drop("_r", "avg"))
+    taken = (cand.select("user_id", "item_id")
+             .unionByName(train.join(u, "user_id", "left_semi").select("user_id", "item_id").distinct()))
+    fill = (_first_untaken(u, taken, (train if items is None else items).select("item_id").distinct(), n)
+            .join(broadcast_if_small(avg), "user_id")
+            .select("user_id", "item_id", F.lit(0.0).alias("den"), F.col("avg").alias("pred")))
+    scored = scored.unionByName(fill)
     w = W.partitionBy("user_id").orderBy(F.round("pred", 9).desc(), F.col("item_id").asc())
     return (scored.withColumn("rank", F.row_number().over(w).cast("bigint"))
             .where(F.col("rank") <= n))

@@ -6,11 +6,11 @@ A *table* of queries ``(query_id, q)`` is answered in one job:
    kept for the index lookup (people are indexed with case).
 2. score(d) = sum over query terms of tf(t, d) * idf(t)^2 (unknown term: idf 0,
    so a document reached only through such terms keeps score 0).
-3. per index shard, the best ``shard_limit`` documents by (score, doc_id) desc
-   (``None`` = no per-shard cut), merged by the same order.
-4. documents are fetched only for these candidates, kept if the title+text
-   (plot search) or a person field (person search) contains a query term,
-   and the first ``limit`` per query are returned.
+3. the scored documents are fetched and kept if the title+text (plot search)
+   or a person field (person search) contains a query term;
+4. the first ``limit`` per query by (score, doc_id) desc are returned.  With
+   ``shard_limit`` only that many kept documents of each shard are merged,
+   which changes the list only where it is below ``limit``.
 """
 
 from __future__ import annotations
@@ -22,11 +22,9 @@ from pyspark.sql import functions as F
 from tessera.functions.text import any_term_in, highlight, leading_snippet, snippet
 from tessera.plans.sizing import broadcast_if_small
 
-# Result URL format, candidates per shard, results per query.
+# Result URL format, results per query.
 URL_PREFIX = "http://www.imdb.com/title/tt"
-SHARD_LIMIT = 30
 RESULT_LIMIT = 10
-MAX_BROADCAST_CANDIDATES = 2_000_000
 
 
 def result_url(doc_id, prefix: str = URL_PREFIX) -> Column:
@@ -59,7 +57,7 @@ def score(queries: DataFrame, postings: DataFrame, idf: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("tf") * F.col("qidf") * F.col("qidf")).alias("score")))
 
 
-def shard_top(scored: DataFrame, shard_limit: int | None = SHARD_LIMIT) -> DataFrame:
+def shard_top(scored: DataFrame, shard_limit: int | None = None) -> DataFrame:
     """WIN-4: best ``shard_limit`` per (query, shard) by (score desc, doc_id desc)."""
     if shard_limit is None:
         return scored
@@ -68,20 +66,6 @@ def shard_top(scored: DataFrame, shard_limit: int | None = SHARD_LIMIT) -> DataF
             .where(F.col("_r") <= shard_limit).drop("_r"))
 
 
-def _with_docs(cands: DataFrame, store: DataFrame, n_queries: int, n_shards: int,
-               shard_limit: int | None) -> DataFrame:
-    """JN-12: attach stored documents to the candidates only.
-
-    With a per-shard limit the candidate count is bounded by
-    queries x shards x limit; within ``MAX_BROADCAST_CANDIDATES`` the
-    candidates are broadcast and the document store is read in place.
-    """
-    bounded = (shard_limit is not None
-               and n_queries * n_shards * shard_limit <= MAX_BROADCAST_CANDIDATES)
-    side = F.broadcast(cands) if bounded else cands
-    return side.join(store.drop("shard"), "doc_id")
-
-
 def _ranked(df: DataFrame, limit: int) -> DataFrame:
     """SRT-2 + LIM-1: first ``limit`` per query by (score desc, doc_id desc)."""
     w = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").desc())
@@ -89,26 +73,25 @@ def _ranked(df: DataFrame, limit: int) -> DataFrame:
             .where(F.col("rank") <= limit))
 
 
-def _candidates(queries, postings, idf, store, shard_limit, n_shards):
-    cands = shard_top(score(queries, postings, idf), shard_limit)
-    n_queries = queries.count()            # the query table is small; bounds the join
-    docs = _with_docs(cands, store, n_queries, n_shards, shard_limit)
+def _candidates(queries, postings, idf, store):
+    """JN-12: scored documents with their stored fields and the query's terms."""
+    docs = score(queries, postings, idf).join(store.drop("shard"), "doc_id")
     return docs.join(broadcast_if_small(term_lists(queries)), "query_id")
 
 
 def search_plot(queries: DataFrame, postings: DataFrame, idf: DataFrame, store: DataFrame,
-                shard_limit: int | None = SHARD_LIMIT, limit: int = RESULT_LIMIT,
-                n_shards: int = 3, url_prefix: str = URL_PREFIX) -> DataFrame:
+                shard_limit: int | None = None, limit: int = RESULT_LIMIT,
+                url_prefix: str = URL_PREFIX) -> DataFrame:
     """TXT-15: ``(query_id, rank, doc_id, title, url, snippet, score)``.
 
     A candidate is kept when its title+text contains a query term
     (case-insensitive literal substring); the snippet is cut from the
     highlighted title+text.
     """
-    c = _candidates(queries, postings, idf, store, shard_limit, n_shards)
+    c = _candidates(queries, postings, idf, store)
     body = F.concat("title", "text")
     found = c.where(any_term_in(body, "terms"))
-    top = _ranked(found, limit)
+    top = _ranked(shard_top(found, shard_limit), limit)
     return top.select("query_id", "rank", "doc_id", "title",
                       result_url("doc_id", url_prefix).alias("url"),
                       snippet(highlight(body, "terms")).alias("snippet"), "score")
@@ -123,16 +106,16 @@ def highlighted(results: DataFrame, store: DataFrame, queries: DataFrame) -> Dat
 
 
 def search_person(queries: DataFrame, postings: DataFrame, idf: DataFrame, store: DataFrame,
-                  shard_limit: int | None = SHARD_LIMIT, limit: int = RESULT_LIMIT,
-                  n_shards: int = 3, url_prefix: str = URL_PREFIX) -> DataFrame:
+                  shard_limit: int | None = None, limit: int = RESULT_LIMIT,
+                  url_prefix: str = URL_PREFIX) -> DataFrame:
     """TXT-16: ``(query_id, rank, doc_id, title, url, actors, directors, writers,
     snippet, score)``.  A candidate is kept when a query term occurs in one of
     its person fields; those fields come back highlighted, the snippet is the
     leading part of title+text (TXT-19)."""
-    c = _candidates(queries, postings, idf, store, shard_limit, n_shards)
+    c = _candidates(queries, postings, idf, store)
     found = c.where(any_term_in("actors", "terms") | any_term_in("directors", "terms")
                     | any_term_in("writer", "terms"))
-    top = _ranked(found, limit)
+    top = _ranked(shard_top(found, shard_limit), limit)
     return top.select("query_id", "rank", "doc_id", "title",
                       result_url("doc_id", url_prefix).alias("url"),
                       highlight("actors", "terms").alias("actors"),

@@ -9,7 +9,7 @@ from tessera.plans import oracle as O
 from tessera.plans.queries import _train_eval, n_distinct, register, rnd, split_ratings
 
 USER_K = 100        # neighbours for user-user CF (reference default)
-ITEM_K = 50         # neighbours for item-item CF
+ITEM_K = 1000         # neighbours for item-item CF
 SIM_K = 20          # top-k similarity report
 
 
@@ -121,13 +121,15 @@ O.define("ua_rec", ("ua_nbrs", "ua_cent", "ua_stat", "train"), f"""
     SELECT user_id, item_id, pred, rank FROM (
         SELECT user_id, item_id, pred,
                row_number() OVER (PARTITION BY user_id ORDER BY round(pred, 9) DESC, item_id) AS rank
-        FROM (SELECT x.user_id, x.item_id, s.avg + x.r AS pred
-              FROM (SELECT n.a AS user_id, c.item_id, SUM(n.sim * c.c) / (SUM(n.sim) + 1e-9) AS r
+        FROM (SELECT s.user_id, i.item_id, s.avg + COALESCE(x.r, 0) AS pred
+              FROM ua_stat s CROSS JOIN (SELECT DISTINCT item_id FROM train) i
+              LEFT JOIN (SELECT n.a AS user_id, c.item_id, SUM(n.sim * c.c) / (SUM(n.sim) + 1e-9) AS r
                     FROM ua_nbrs n JOIN ua_cent c ON c.user_id = n.b
                     WHERE NOT EXISTS (SELECT 1 FROM train t
                                       WHERE t.user_id = n.a AND t.item_id = c.item_id)
-                    GROUP BY n.a, c.item_id) x
-              JOIN ua_stat s ON s.user_id = x.user_id) y) z
+                    GROUP BY n.a, c.item_id) x ON x.user_id = s.user_id AND x.item_id = i.item_id
+              WHERE NOT EXISTS (SELECT 1 FROM train t
+                                WHERE t.user_id = s.user_id AND t.item_id = i.item_id)) y) z
     WHERE rank <= 10""")
 
 

@@ -31,28 +31,3 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df
-
-
-DEFAULT_SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread_small(df: DataFrame, *keys: str,
-                 max_bytes: int = DEFAULT_SPREAD_MAX_BYTES) -> DataFrame:
-    """Round-robin a *small* input over the cluster's cores before CPU-heavy work.
-
-    A file written as one Parquet row group is read by one task whatever its
-    byte splits, so tokenizing or joining it would run single-threaded.  When
-    the estimated size is at most ``max_bytes`` the extra shuffle is that
-    small; larger inputs (which come in many row groups and files) are left
-    alone, so at scale this never adds a shuffle of the corpus.  With
-    ``keys`` the spread hash-partitions on them, so later aggregates keyed by
-    a superset of ``keys`` (e.g. (doc_id, term)) need no further exchange.
-    """
-    size = estimated_bytes(df)
-    if size is None or size > max_bytes:
-        return df
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext (Spark Connect): use the shuffle width
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)

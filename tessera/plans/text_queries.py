@@ -102,9 +102,7 @@ def score_sql(qname: str) -> str:
     O.define(f"{qname}_cand", (name, "docstore", qname), f"""
         SELECT c.query_id, c.doc_id, c.score, s.title, s.text, s.actors, s.directors, s.writer,
                string_split(q.q, ' ') AS terms
-        FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, shard
-                                   ORDER BY score DESC, doc_id DESC) AS r FROM {name}) x
-              WHERE r <= {SR.SHARD_LIMIT}) c
+        FROM {name} c
         JOIN docstore s ON s.doc_id = c.doc_id
         JOIN {qname} q ON q.query_id = c.query_id""")
     return f"{qname}_cand"
@@ -238,7 +236,7 @@ def q_tfidf_scores(spark, sf):
     "plot_res"))
 def q_search_plot(spark, sf):
     _, post, idf, store = _index(spark, sf)
-    res = SR.search_plot(plot_queries(spark, sf), post, idf, store, n_shards=N_SHARDS)
+    res = SR.search_plot(plot_queries(spark, sf), post, idf, store)
     return res.withColumn("score", rnd("score"))
 
 
@@ -247,7 +245,7 @@ def q_search_plot(spark, sf):
     "round(score, 6) AS score FROM person_res", "person_res"))
 def q_search_person(spark, sf):
     _, post, idf, store = _index(spark, sf)
-    res = SR.search_person(person_queries(spark, sf), post, idf, store, n_shards=N_SHARDS)
+    res = SR.search_person(person_queries(spark, sf), post, idf, store)
     return res.withColumn("score", rnd("score"))
 
 
@@ -256,14 +254,14 @@ def q_search_person(spark, sf):
 def q_highlight(spark, sf):
     _, post, idf, store = _index(spark, sf)
     q = plot_queries(spark, sf)
-    res = SR.search_plot(q, post, idf, store, n_shards=N_SHARDS)
+    res = SR.search_plot(q, post, idf, store)
     return SR.highlighted(res, store, q)
 
 
 @register("snippet", O.with_ctes("SELECT query_id, doc_id, snippet FROM plot_res", "plot_res"))
 def q_snippet(spark, sf):
     _, post, idf, store = _index(spark, sf)
-    res = SR.search_plot(plot_queries(spark, sf), post, idf, store, n_shards=N_SHARDS)
+    res = SR.search_plot(plot_queries(spark, sf), post, idf, store)
     return res.select("query_id", "doc_id", "snippet")
 
 
@@ -278,5 +276,5 @@ GROUP BY q.query_id""", "pq", "plot_res"))
 def q_search_json(spark, sf):
     _, post, idf, store = _index(spark, sf)
     q = plot_queries(spark, sf)
-    res = SR.search_plot(q, post, idf, store, n_shards=N_SHARDS)
+    res = SR.search_plot(q, post, idf, store)
     return SR.search_json(q, res)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if sc.master.startswith("local"):
+    if re.match(r"local(\[|$)", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp"))
         return sc.getCheckpointDir()
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")

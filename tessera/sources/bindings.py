@@ -15,7 +15,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators.ratings import dedupe_ratings
-from tessera.plans.sizing import spread_small
 from tessera.session import cut_lineage
 from tessera.sources.tables import table
 
@@ -24,9 +23,9 @@ NO_GENRES = "(no genres listed)"
 
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rating per line item: (user_id, item_id, rating), duplicates kept."""
-    li = spread_small(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.col("l_partkey").alias("item_id"),
-        (F.ceil(F.col("l_quantity") / 5).cast("double") / 2).alias("rating")))
+        (F.ceil(F.col("l_quantity") / 5).cast("double") / 2).alias("rating"))
     od = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     return (li.join(od, li.l_orderkey == od.o_orderkey)
             .select("user_id", "item_id", "rating"))
@@ -61,8 +60,7 @@ def _first_n(df: DataFrame, key: str, order: str, name: str, n: int) -> DataFram
 def credits(spark: SparkSession, sf_dir: str, n_actors: int = 10,
             n_directors: int = 2) -> DataFrame:
     """(doc_id, actors, directors) arrays ordered by customer / supplier key."""
-    li = spread_small(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey",
-                                                              "l_suppkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -88,7 +86,7 @@ def docs(spark: SparkSession, sf_dir: str, with_credits: bool = True) -> DataFra
     consumers, so their lineage is cut once; ``with_credits=False`` leaves
     them out entirely (empty arrays) for jobs that never read people.
     """
-    d = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"),
                                             F.col("p_name").alias("title"),
                                             F.col("p_brand").alias("writer"))

@@ -115,3 +115,20 @@ def test_recommend_excludes_rated_items(spark):
     out = rec.collect()
     assert out and all((r.user_id, r.item_id) not in rated for r in out)
     assert max(r.rank for r in out) <= 2
+
+
+def test_recommend_covers_items_no_neighbour_rated(spark):
+    tr = _df(spark, TRAIN)
+    items = _df(spark, TRAIN + [(1, 900, 1.0), (1, 901, 1.0)]).select("item_id")
+    rec = NB.recommend(tr, tr.select("user_id"), k=3, n=50, n_entities=ALL_USERS, items=items).collect()
+    rated = {(u, i) for u, i, _ in TRAIN}
+    every = {(u, i) for u, _, _ in TRAIN for i in [i for _, i, _ in TRAIN] + [900, 901]} - rated
+    assert {(r.user_id, r.item_id) for r in rec} == every and len(rec) == len(every)
+    few = NB.recommend(tr, tr.select("user_id"), k=3, n=2, n_entities=ALL_USERS, items=items).collect()
+    assert {(r.user_id, r.item_id, r.rank) for r in few} == {(r.user_id, r.item_id, r.rank) for r in rec if r.rank <= 2}
+
+
+def test_pair_join_runs_once(spark):
+    tr = _df(spark, TRAIN)
+    _, _, nb = NB.neighbours(tr, "user_id", 3, ALL_USERS)
+    assert nb._jdf.queryExecution().executedPlan().toString().count("cn_a") == 0

@@ -87,3 +87,21 @@ def test_stopwords_and_boosted_tfidf(spark):
     norms = v.groupBy("doc_id").agg(F.sum(F.col("weight") ** 2).alias("n")).collect()
     assert all(abs(r.n - 1) < 1e-9 for r in norms)
     assert v.where("term = 'the'").count() == 0
+
+
+def test_highlight_quotes_end_marks(spark):
+    from tessera.functions.text import highlight
+    df = spark.createDataFrame([("a\\Eb c", ["\\E", "C"])], "t string, terms array<string>")
+    assert df.select(highlight("t", "terms")).first()[0] == "a<strong>\\E</strong>b <strong>c</strong>"
+
+
+def test_found_filter_comes_before_the_shard_cut(spark):
+    post = spark.createDataFrame([(0, "x", i, 100 - i) for i in range(60)], "shard int, term string, doc_id long, tf long")
+    idf = spark.createDataFrame([("x", 1.0)], "term string, idf double")
+    store = spark.createDataFrame([(0, i, "t", "has x" if i >= 40 else "none", "", "", "") for i in range(60)],
+                                  "shard int, doc_id long, title string, text string, actors string, directors string, writer string")
+    q = spark.createDataFrame([(1, "x")], "query_id long, q string")
+    for cut in (None, 30):
+        got = [r.doc_id for r in SR.search_plot(q, post, idf, store, shard_limit=cut).orderBy("rank").collect()]
+        assert got == list(range(40, 50))
+    assert SR.search_plot(q, post, idf, store, shard_limit=3).count() == 3
