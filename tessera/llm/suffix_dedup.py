@@ -139,17 +139,19 @@ def _settle(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     class stays open if its core has another class, since parts of it may
     repeat there; what its fellow members repeat is settled already.
     """
-    cores = nodes.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    # written tables on both sides: a join of plain scans, whose skewed partitions AQE splits
+    cores = saved(nodes.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "op4-cores")
     shared = saved(nodes.join(cores, "core"), "op4-shared")
+    drop_saved(cores)
     classes = saved(shared.groupBy("core", "hull").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("rid", "anchor", "first", "last")]), "op4-classes")
     repeats = saved(shared.join(classes.where("n > 1").select("core", "hull"), ["core", "hull"])
                     .select("rid", "first", "last"), "op4-repeats")
     drop_saved(shared)
-    mixed = classes.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core")
+    mixed = saved(classes.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core"), "op4-mixed")
     left = saved(classes.join(mixed, "core").groupBy("rid")
                  .agg(F.collect_list(F.struct("anchor", "first", "last")).alias("open")), "op4-open")
-    drop_saved(classes)
+    drop_saved(classes, mixed)
     return repeats, left
 
 
