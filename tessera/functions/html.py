@@ -9,14 +9,13 @@ the pages' partitions.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The five basic character entities (&amp; last).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&amp;", "&"))
 MAX_ACTORS = 10
 MAX_DIRECTORS = 2
 
@@ -26,10 +25,27 @@ def _col(c) -> Column:
 
 
 def unescape(c) -> Column:
-    out = _col(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Text with its character references decoded, in one pass over the text.
+
+    Decodes references that end in ``;``: decimal, hexadecimal, and the names of
+    the standard library's HTML 4 table (and ``apos``).  Others stay as they are.
+    """
+    names = F.str_to_map(F.lit(",".join(f"{n}:{cp}" for n, cp in sorted(name2codepoint.items())) + ",apos:39"),
+                         F.lit(","), F.lit(":"))
+
+    def after_ampersand(p):
+        ref = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});", 1)
+        code = (F.when(ref.rlike("^#[xX]"), F.conv(F.substr(ref, F.lit(3)), 16, 10).try_cast("int"))
+                .when(ref.startswith("#"), F.substr(ref, F.lit(2)).try_cast("int"))
+                .otherwise(F.try_element_at(names, ref).try_cast("int")))
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return (F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
+                       F.concat(char, F.substr(p, F.length(ref) + F.lit(2))))
+                .otherwise(F.concat(F.lit("&"), p)))
+
+    parts = F.split(_col(c), "&", -1)
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), after_ampersand)
+    return F.concat(F.try_element_at(parts, F.lit(1)), F.array_join(rest, ""))
 
 
 def title(html="html") -> Column:
@@ -54,12 +70,18 @@ def visible_text(html="html") -> Column:
     return F.trim(F.regexp_replace(unescape(h), r"\s+", " "))
 
 
-def _itemprop_links(html: Column, tag: str, prop: str) -> Column:
-    """(href, name) pairs of the first link inside each ``<tag itemprop=prop>``."""
-    pat = (rf'(?is)<{tag}[^>]*itemprop="{prop}"[^>]*>.*?<a[^>]*href="([^"]*)"[^>]*>'
-           rf'\s*(?:<span[^>]*>)?([^<]*)')
-    return F.arrays_zip(F.regexp_extract_all(html, F.lit(pat), 1).alias("href"),
-                        F.regexp_extract_all(html, F.lit(pat), 2).alias("name"))
+def _itemprop_links(html: Column, tag: str, prop: str, n: int) -> Column:
+    """(href, name) of the first link inside each of the first ``n`` ``<tag itemprop=prop>``.
+
+    A container ends at the first closing tag of its kind, so a link behind it
+    never counts; a container without a link gives a null href.
+    """
+    body = F.regexp_extract_all(
+        html, F.lit(rf'(?is)<{tag}\b[^>]*itemprop="{prop}"[^>]*>(.*?)</{tag}>'), 1)
+    link = r'(?is)<a\b[^>]*href="([^"]*)"[^>]*>\s*(?:<span[^>]*>)?([^<]*)'
+    return F.transform(F.slice(body, 1, n), lambda x: F.struct(
+        F.when(x.rlike(link), F.regexp_extract(x, link, 1)).alias("href"),
+        unescape(F.regexp_extract(x, link, 2)).alias("name")))
 
 
 def _after_heading(html: Column, heading: str, link: bool) -> Column:
@@ -67,7 +89,7 @@ def _after_heading(html: Column, heading: str, link: bool) -> Column:
         pat = rf"(?is)<h4[^>]*>\s*{heading}\s*</h4>.*?<a[^>]*>([^<]*)</a>"
     else:
         pat = rf"(?is)<h4[^>]*>\s*{heading}\s*</h4>([^<]*)"
-    return F.regexp_extract(html, pat, 1)
+    return unescape(F.regexp_extract(html, pat, 1))
 
 
 def _py_slice(s: Column, start: int, stop: int | None) -> Column:
@@ -136,19 +158,22 @@ def plot_summary(html="html") -> Column:
 def movie_record(html="html") -> Column:
     """HTM-1..10 as one struct (synopsis before stop-word stripping)."""
     h = _col(html)
-    dirs = F.slice(_itemprop_links(h, "span", "director"), 1, MAX_DIRECTORS)
-    writer = F.try_element_at(_itemprop_links(h, "span", "creator"), F.lit(1))
-    actors = F.slice(_itemprop_links(h, "td", "actor"), 1, MAX_ACTORS)
+    dirs = _itemprop_links(h, "span", "director", MAX_DIRECTORS)
+    first = F.try_element_at(dirs, F.lit(1))
+    # no director at all where the first one has no link
+    dirs = F.filter(dirs, lambda x: first["href"].isNotNull() & x["href"].isNotNull())
+    writer = F.try_element_at(_itemprop_links(h, "span", "creator", 1), F.lit(1))
+    actors = F.filter(_itemprop_links(h, "td", "actor", MAX_ACTORS), lambda x: x["href"].isNotNull())
     rating = F.regexp_extract(h, r'(?is)<span[^>]*class="rating"[^>]*>([^<]*)', 1)
     release = F.split(_after_heading(h, "Release Date:", False), r"\(", -1)[0]
     return F.struct(
         title(h).alias("title"),
-        F.regexp_extract_all(h, F.lit(r'(?is)<span[^>]*itemprop="genre"[^>]*>([^<]*)</span>'), 1)
-        .alias("genres"),
+        F.transform(F.regexp_extract_all(
+            h, F.lit(r'(?is)<span[^>]*itemprop="genre"[^>]*>([^<]*)</span>'), 1), unescape).alias("genres"),
         F.transform(dirs, lambda x: F.substr(x["href"], F.lit(7), F.lit(9))).alias("directors"),
         F.transform(dirs, lambda x: x["name"]).alias("dir_name"),
         F.coalesce(F.substr(writer["href"], F.lit(7), F.lit(9)), F.lit("")).alias("writer"),
-        F.coalesce(writer["name"], F.lit("")).alias("writer_name"),
+        F.when(writer["href"].isNotNull(), writer["name"]).otherwise("").alias("writer_name"),
         F.when(rating == "", F.lit("NA")).otherwise(rating).alias("rating"),
         F.transform(actors, lambda x: F.substr(x["href"], F.lit(7), F.lit(9))).alias("actors"),
         F.transform(actors, lambda x: x["name"]).alias("actor_names"),

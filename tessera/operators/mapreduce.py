@@ -7,6 +7,7 @@
 * ``combiner`` (same signature as the reducer, optional) collapses each map
   batch before the shuffle -- for associative reducers this bounds what a hot
   key sends to its reducer by the number of map batches.
+* pairs without a key or a value are dropped (FLT-6).
 * keys go to reducer ``shard_of(key, n)`` (integer keys mod n, others by md5
   bucket -- the reference's partitioner) and are sorted within each reducer.
 * ``reducer(key, values: iterator) -> iterable of output tuples`` sees each
@@ -48,7 +49,7 @@ def map_reduce(df: DataFrame, mapper, reducer, n_reducers: int, out_schema: str,
                 kv = _apply_reducer(kv.sort_values("key", kind="stable"), combiner, kv_cols)
             yield kv[kv_cols]
 
-    mapped = df.mapInPandas(map_side, kv_schema)
+    mapped = df.mapInPandas(map_side, kv_schema).dropna(subset=kv_cols)
     shuffled = (mapped.repartitionById(n_reducers, shard_of("key", n_reducers).cast("int"))
                 .sortWithinPartitions("key"))
 
@@ -81,7 +82,9 @@ def sum_reducer(key, values):
     yield (key, int(sum(values)))
 
 
-def word_count(lines: DataFrame, n_reducers: int = 3) -> DataFrame:
+def word_count(lines: DataFrame, n_reducers: int | None = None) -> DataFrame:
+    """Word counts by ``n_reducers`` reducers (as many as shuffle partitions by default)."""
+    n_reducers = n_reducers or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return map_reduce(lines.select("value"), word_mapper, sum_reducer, n_reducers,
                       "key string, value long", combiner=sum_reducer)
 

@@ -6,6 +6,7 @@
 * docs     -- documents joined to their part (title, writer) and the part's
               credits: first 10 buying customers as actors, first 2
               suppliers as directors
+* movie_pages -- one rendered movie page per docs row with its catalogue genres
 """
 
 from __future__ import annotations
@@ -100,3 +101,45 @@ def docs(spark: SparkSession, sf_dir: str, with_credits: bool = True) -> DataFra
                     F.coalesce("actors", empty).alias("actors"),
                     F.coalesce("directors", empty).alias("directors"),
                     "writer"))
+
+
+def movie_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, html): a movie page per docs row, people with links and genres marked up.
+
+    Every seventh page names a director without a link first, every eleventh
+    page's writer has none; text is escaped.
+    """
+    d = docs(spark, sf_dir).join(catalog(spark, sf_dir).select(F.col("item_id").alias("doc_id"), "genres"),
+                                 "doc_id")
+
+    def escaped(c):
+        return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                         F.lit(">"), F.lit("&gt;"))
+
+    def link(name, inner=lambda c: c):
+        number = F.lpad(F.substring(F.substring_index(name, "#", -1), -7, 7), 7, "0")
+        return F.concat(F.lit('<a href="/name/nm'), number, F.lit('/?ref">'), inner(escaped(name)), F.lit("</a>"))
+
+    def each(names, wrap):
+        return F.array_join(F.transform(names, wrap), "\n")
+
+    ident, n = F.col("doc_id").cast("string"), F.col("doc_id")
+    genres = each(F.split("genres", r"\|"), lambda g: F.concat(F.lit('<span itemprop="genre">'), escaped(g), F.lit("</span>")))
+    directors = each(F.col("directors"), lambda x: F.concat(F.lit('<span itemprop="director">'), link(x), F.lit("</span>")))
+    actors = each(F.col("actors"), lambda x: F.concat(
+        F.lit('<td itemprop="actor">'),
+        link(x, lambda c: F.concat(F.lit("<span>"), c, F.lit("</span>"))), F.lit("</td>")))
+    writer = F.when(n % 11 == 0, F.lit("Unlinked")).otherwise(link(F.col("writer")))
+    html = F.concat(
+        F.lit("<html><head><title>"), escaped(F.col("title")), F.lit(" (19"), ident, F.lit(") - Films</title></head><body>"),
+        genres, F.when(n % 7 == 0, F.lit('<span itemprop="director">Unlinked</span>')).otherwise(F.lit("")), directors,
+        F.lit('<span itemprop="creator">'), writer, F.lit('</span><span class="rating">'), (n % 10).cast("string"),
+        F.lit("</span>"), actors,
+        F.lit('<h4>Country:</h4> <a href="/c">Land &amp; '), (n % 7).cast("string"), F.lit("</a>"),
+        F.lit("<h4>Release Date:</h4> 1 May "), (n % 100 + 1900).cast("string"), F.lit(" (Land)\n"),
+        F.lit("<h4>Gross:</h4>" + " " * 8 + "$"), ident, F.lit(" " * 16),
+        F.lit('<h4>Color:</h4> <a href="/k">Caf&eacute; &#233; '), (n % 3).cast("string"), F.lit("</a>"),
+        F.lit('<a id="follows"></a><a href="/title/tt'), ident, F.lit('/">Earlier</a> (1990)'),
+        F.lit('<a href="/title/tt0/">Other</a> (TV (1991))<p class="plotSummary">'),
+        escaped(F.coalesce("text", F.lit(""))), F.lit("</p></body></html>"))
+    return d.select(F.col("doc_id").alias("page_id"), html.alias("html"))

@@ -83,13 +83,14 @@ def read_text_shards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def write_shards(df: DataFrame, path: str, n: int, fmt: str = "json") -> None:
-    """SNK-1 / SNK-5: ``n`` round-robin shard files."""
-    df.repartition(n).write.mode("overwrite").format(fmt).save(path)
+def write_shards(df: DataFrame, path: str, n: int | None = None, fmt: str = "json") -> None:
+    """SNK-1 / SNK-5: ``n`` round-robin shard files; one for each partition by default."""
+    (df.repartition(n) if n else df).write.mode("overwrite").format(fmt).save(path)
 
 
-def write_text_shards(df: DataFrame, col: str, path: str, n: int) -> None:
-    df.select(F.col(col).alias("value")).repartition(n).write.mode("overwrite").text(path)
+def write_text_shards(df: DataFrame, col: str, path: str, n: int | None = None) -> None:
+    lines = df.select(F.col(col).alias("value"))
+    (lines.repartition(n) if n else lines).write.mode("overwrite").text(path)
 
 
 def write_ratings_csv(ratings: DataFrame, path: str) -> None:

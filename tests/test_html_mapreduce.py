@@ -37,6 +37,34 @@ def test_movie_record_fields(spark):
     assert e.directors == [] and e.writer == "" and e.rating == "NA" and e.related_movies == []
 
 
+def test_a_container_without_a_link_takes_no_later_link(spark):
+    page = ('<title>Am&eacute;lie (x)</title><span itemprop="director">Unlinked</span>'
+            '<span itemprop="creator">None</span><span itemprop="creator"><a href="/name/nm0000009/">W</a></span>'
+            '<td itemprop="actor">-</td><td itemprop="actor"><a href="/name/nm0000003/"><span>O&#39;N</span></a></td>'
+            '<span itemprop="genre">Sci &amp; Fi</span>')
+    r = spark.createDataFrame([(page,)], "html string").select(H.movie_record("html").alias("r")).first().r
+    assert r.title == "Am\u00e9lie " and r.genres == ["Sci & Fi"]
+    assert r.directors == [] and r.dir_name == [] and r.writer == "" and r.writer_name == ""
+    assert r.actors == ["nm0000003"] and r.actor_names == ["O'N"]
+
+
+def test_character_references_like_the_standard_library(spark):
+    import html
+    texts = ["&lt;&#x41;&#66;&euro;&amp;lt;", "no reference", "", "& &nosuch; &#0; &#xD800; a&b;c", "&copy;&middot;&hearts;",
+             "&#128512;!"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = [r[0] for r in df.select(H.unescape("t")).collect()]
+    assert got == [html.unescape(t) if "nosuch" not in t else t for t in texts] + [None]
+
+
+def test_pairs_without_key_or_value_are_dropped(spark):
+    def mapper(b):
+        return b.rename(columns={"value": "key"}).assign(value=[None if k == "x" else 1 for k in b["value"]])
+    df = spark.createDataFrame([("a",), (None,), ("x",), ("a",)], "value string")
+    out = MR.map_reduce(df, mapper, MR.sum_reducer, 2, "key string, value long")
+    assert [(r.key, r.value) for r in out.collect()] == [("a", 2)]
+
+
 def test_generic_map_reduce_equals_builtin(spark):
     lines = spark.createDataFrame([("the cat the hat",), ("The end",), ("",), ("cat cat",)] * 5,
                                   "value string")
