@@ -120,6 +120,14 @@ def docstore(docs: DataFrame, n_shards: int = N_DOC_SHARDS) -> DataFrame:
         F.coalesce("writer", F.lit("")).alias("writer"))
 
 
+def keep_last(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """AGG-19: of the rows of each ``key``, the one with the greatest ``order``
+    (then the greatest other columns), pre-aggregated before the shuffle."""
+    rest = [c for c in rows.columns if c not in (key, order)]
+    last = rows.groupBy(key).agg(F.max(F.struct(order, *rest)).alias("_last"))
+    return last.select(key, *[F.col("_last")[c].alias(c) for c in (order, *rest)])
+
+
 def legacy_docstore(docs: DataFrame, url_prefix: str) -> DataFrame:
     """TXT-9: original-case title, result URL and original text."""
     from tessera.operators.search import result_url

@@ -77,9 +77,10 @@ def leave_n_out(ratings: DataFrame, n: int = 10, seed: int = 1,
     Users with fewer than ``min_ratings`` (default ``n``) ratings are left
     out.  The held-out rows come from a ``row_number() <= n`` filter, which
     Spark turns into a per-partition limit before the shuffle; the per-user
-    counts are a partial aggregate.  No user's rows are ever gathered into one
-    task, however many they are.
+    counts are a partial aggregate.  The two joins on the user are left to AQE's
+    skew handling.  The ratings are written once (checkpoint).
     """
+    ratings = cut_lineage(ratings)
     need = n if min_ratings is None else min_ratings
     counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
     eligible = counts.where(F.col("_n") >= need).select("user_id")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions.stopwords import STOP_WORDS_EN, WHITESPACE
 from tessera.functions.text import tokenize
 from tessera.plans.sizing import broadcast_if_small
+from tessera.session import cut_lineage
 
 TITLE_BOOST = 4
 
@@ -43,14 +44,15 @@ def boosted_tfidf(docs: DataFrame, boost: int = TITLE_BOOST,
 
     Text = title repeated ``boost`` times + text, lower-cased, tokenized,
     stop words removed; tf = raw count, idf = ln((1 + n) / (1 + df)) + 1
-    (smoothed), weight = tf * idf / ||tf * idf||.
+    (smoothed), weight = tf * idf / ||tf * idf||.  The counts are written once
+    (checkpoint), so the corpus is tokenized once.
     """
     body = F.concat_ws(" ", *([F.col("title")] * boost), F.col("text"))
     remover = StopWordsRemover(inputCol="_toks", outputCol="_kept",
                                stopWords=list(stop_words), caseSensitive=True)
     kept = remover.transform(docs.select("doc_id", tokenize(F.lower(body)).alias("_toks")))
-    tf = (kept.select("doc_id", F.explode("_kept").alias("term"))
-          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    tf = cut_lineage(kept.select("doc_id", F.explode("_kept").alias("term"))
+                     .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
            .select("term", (F.log((F.lit(1.0) + n) / (F.col("df") + 1)) + 1).alias("idf")))

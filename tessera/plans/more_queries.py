@@ -1,12 +1,14 @@
 """Named queries for the matrix triples, legacy store, catalogue files and
-nested postings (REC-23, TXT-9, SRC-2/3 + JN-13, AGG-14, SRC-4 + SNK-5)."""
+nested postings (REC-23, TXT-9, SRC-2/3 + JN-13, AGG-14, SRC-4 + SNK-5), movie
+records with data, catalogue reports, the 90/10 split and the doc store of
+repeated ids (HTM-1..10, SRT-1, AGG-18/19, SPL-2, REC-18)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tessera.functions import html as H
-from tessera.operators import index as IX, ratings as rt, search as SR
+from tessera.operators import content as CT, index as IX, ratings as rt, search as SR
 from tessera.plans import oracle as O
 from tessera.plans.queries import register
 from tessera.session import scratch_path
@@ -76,11 +78,90 @@ def q_postings_lists(spark, sf):
 
 @register("movie_records_roundtrip")
 def q_movie_records_roundtrip(spark, sf):
-    """SNK-5 / SNK-1 / SRC-4: records extracted from every page, written as 5
+    """SNK-5 / SNK-1 / SRC-4: records extracted from every page, written as
     JSON shards and read back with the record schema (malformed lines dropped)."""
     recs = (table(spark, sf, "pages").select(
         F.col("page_id").cast("string").alias("imdbid"), H.movie_record().alias("r"))
         .select("imdbid", "r.*"))
     path = scratch_path(spark, "movie-records")
-    FS.write_shards(recs, path, 5, "json")
+    FS.write_shards(recs, path)
     return FS.read_movie_records(spark, path)
+
+
+def _ids_sql(names: str) -> str:
+    return (f"array_to_string(list_transform({names}, "
+            "lambda x: 'nm' || lpad(right(split_part(x, '#', 2), 7), 7, '0')), '|')")
+
+
+@register("movie_page_records", O.with_ctes(f"""
+SELECT CAST(d.doc_id AS VARCHAR) AS imdbid, d.title || ' ' AS title, c.genres,
+       CASE WHEN d.doc_id % 7 = 0 THEN '' ELSE {_ids_sql("d.directors")} END AS directors,
+       CASE WHEN d.doc_id % 7 = 0 THEN '' ELSE array_to_string(d.directors, '|') END AS dir_name,
+       CASE WHEN d.doc_id % 11 = 0 THEN '' ELSE {_ids_sql("[d.writer]")} END AS writer,
+       CASE WHEN d.doc_id % 11 = 0 THEN '' ELSE d.writer END AS writer_name,
+       CAST(d.doc_id % 10 AS VARCHAR) AS rating, {_ids_sql("d.actors")} AS actors,
+       array_to_string(d.actors, '|') AS actor_names, 'Land & ' || CAST(d.doc_id % 7 AS VARCHAR) AS country,
+       '1 May ' || CAST(d.doc_id % 100 + 1900 AS VARCHAR) AS release_date,
+       '$' || CAST(d.doc_id AS VARCHAR) AS gross, 'Caf\u00e9 \u00e9 ' || CAST(d.doc_id % 3 AS VARCHAR) AS color,
+       'tt' || CAST(d.doc_id AS VARCHAR) || '/' AS related_movies,
+       replace(COALESCE(d.text, ''), chr(10), ' ' || chr(10) || ' ') AS synopsis
+FROM docs d JOIN catalog c ON d.doc_id = c.item_id""", "docs", "catalog"))
+def q_movie_page_records(spark, sf):
+    """HTM-1..10, SNK-5, SRC-4: records of rendered movie pages, written as JSON
+    shards and read back, lists joined by '|'."""
+    recs = B.movie_pages(spark, sf).select(F.col("page_id").cast("string").alias("imdbid"),
+                                           H.movie_record().alias("r")).select("imdbid", "r.*")
+    path = scratch_path(spark, "movie-page-records")
+    FS.write_shards(recs, path)
+    got = FS.read_movie_records(spark, path)
+    return got.select(*[F.array_join(c, "|").alias(c) if t.startswith("array") else F.col(c)
+                        for c, t in got.dtypes])
+
+
+@register("catalog_sorted", O.with_ctes("SELECT item_id, title, genres FROM catalog ORDER BY item_id", "catalog"))
+def q_catalog_sorted(spark, sf):
+    """SRT-1: the catalogue in item order."""
+    return B.catalog(spark, sf).orderBy("item_id")
+
+
+@register("duplicate_items", """
+SELECT p_partkey - p_partkey % 3 AS item_id, COUNT(*) AS n FROM part
+GROUP BY p_partkey - p_partkey % 3 HAVING COUNT(*) > 1""")
+def q_duplicate_items(spark, sf):
+    """AGG-18: ids listed more than once, in a catalogue where three parts share an id."""
+    shared = B.catalog(spark, sf).withColumn("item_id", F.col("item_id") - F.col("item_id") % 3)
+    return CT.duplicate_items(shared)
+
+
+KNOWN_GENRES = ("ECONOMY", "SMALL", "red", "blue")
+
+
+@register("unknown_genres", O.with_ctes(f"""
+SELECT DISTINCT item_id, genre FROM (
+    SELECT item_id, unnest(string_split(genres, '|')) AS genre FROM catalog
+    WHERE genres <> '{B.NO_GENRES}') t
+WHERE genre NOT IN {KNOWN_GENRES}""", "catalog"))
+def q_unknown_genres(spark, sf):
+    """REC-18 report: genres of the usable catalogue outside a given list."""
+    return CT.unknown_genres(B.catalog(spark, sf), KNOWN_GENRES).select("item_id", "genre")
+
+
+@register("split_90_10", O.with_ctes(f"""
+SELECT CASE WHEN b < 9 THEN 'train' ELSE 'test' END AS split, COUNT(*) AS n, SUM(rating) AS sum_rating
+FROM (SELECT rating, {O.md5_int("concat(user_id, '_', item_id, '_1')")} % 10 AS b FROM ratings) t
+GROUP BY 1""", "ratings"))
+def q_split_90_10(spark, sf):
+    """SPL-2: size and rating sum of a 90/10 split."""
+    s = rt.with_split(B.ratings(spark, sf), n_train=9, n_valid=0)
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("sum_rating"))
+
+
+@register("docstore_latest", """
+SELECT CAST(doc_id - doc_id % 2 AS BIGINT) AS doc_id, arg_max(text, doc_id) AS text
+FROM (SELECT doc_id, COALESCE(text, '') AS text FROM documents) t GROUP BY doc_id - doc_id % 2""")
+def q_docstore_latest(spark, sf):
+    """AGG-19: a store of repeated ids (neighbouring documents share one) keeps the last row of each."""
+    d = table(spark, sf, "documents").select(
+        (F.col("doc_id") - F.col("doc_id") % 2).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+        F.col("doc_id").alias("position"))
+    return IX.keep_last(d, "doc_id", "position").select("doc_id", "text")
