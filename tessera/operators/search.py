@@ -21,10 +21,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import any_term_in, highlight, leading_snippet, snippet
 from tessera.plans.sizing import broadcast_if_small
+from tessera.session import cut_lineage
 
 # Result URL format, results per query.
 URL_PREFIX = "http://www.imdb.com/title/tt"
 RESULT_LIMIT = 10
+#: Query-term rows (a term and two numbers each) that may be broadcast.
+BROADCAST_TERMS = 500_000
 
 
 def result_url(doc_id, prefix: str = URL_PREFIX) -> Column:
@@ -43,16 +46,26 @@ def term_lists(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", F.split("q", " ", -1).alias("terms"))
 
 
-def score(queries: DataFrame, postings: DataFrame, idf: DataFrame) -> DataFrame:
+def score(queries: DataFrame, postings: DataFrame, idf: DataFrame,
+          broadcast_terms: int = BROADCAST_TERMS, salts: int = 32) -> DataFrame:
     """TXT-12 / TXT-13 / JN-10 / JN-11 / AGG-16: ``(query_id, shard, doc_id, score)``.
 
-    The query-term side is broadcast when small, so postings of a very common
-    term are probed where they lie instead of being shuffled to one task.
+    The weighted query terms are written once and counted.  Up to
+    ``BROADCAST_TERMS`` rows they are broadcast, so the postings of a frequent
+    term are probed where they lie; beyond it the postings are spread over
+    ``salts`` parts of each term, and the query terms repeated for each part.
+    Both ways give the same rows.
     """
-    qt = (query_terms(queries)
-          .join(broadcast_if_small(idf.select("term", "idf")), "term", "left")
-          .select("query_id", "term", F.coalesce("idf", F.lit(0.0)).alias("qidf")))
-    hits = broadcast_if_small(qt).join(postings.select("shard", "term", "doc_id", "tf"), "term")
+    qt = cut_lineage(query_terms(queries)
+                     .join(broadcast_if_small(idf.select("term", "idf")), "term", "left")
+                     .select("query_id", "term", F.coalesce("idf", F.lit(0.0)).alias("qidf")))
+    post = postings.select("shard", "term", "doc_id", "tf")
+    if qt.count() <= broadcast_terms:
+        hits = post.join(F.broadcast(qt), "term")
+    else:
+        parts = qt.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        hits = (post.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+                .join(parts, ["term", "_part"]).drop("_part"))
     return (hits.groupBy("query_id", "shard", "doc_id")
             .agg(F.sum(F.col("tf") * F.col("qidf") * F.col("qidf")).alias("score")))
 

@@ -105,3 +105,17 @@ def test_found_filter_comes_before_the_shard_cut(spark):
         got = [r.doc_id for r in SR.search_plot(q, post, idf, store, shard_limit=cut).orderBy("rank").collect()]
         assert got == list(range(40, 50))
     assert SR.search_plot(q, post, idf, store, shard_limit=3).count() == 3
+
+
+def test_scores_do_not_depend_on_how_the_terms_are_joined(spark):
+    """One term in every document; broadcast and salted joins agree, and the
+    broadcast form moves no postings by term."""
+    from tessera.operators import search as SR
+    post = spark.range(400).selectExpr("int(id % 3) shard", "'common' term", "id doc_id", "1 + id % 5 tf").union(
+        spark.createDataFrame([(0, "rare", 3, 2)], "shard int, term string, doc_id long, tf long"))
+    idf = spark.createDataFrame([("common", 0.5), ("rare", 3.0)], "term string, idf double")
+    qs = spark.createDataFrame([(1, "common rare"), (2, "rare rare unseen"), (3, "common")], "query_id long, q string")
+    probed, salted = SR.score(qs, post, idf), SR.score(qs, post, idf, broadcast_terms=0, salts=4)
+    as_rows = lambda d: sorted((r.query_id, r.shard, r.doc_id, round(r.score, 9)) for r in d.collect())
+    assert as_rows(probed) == as_rows(salted) and len(as_rows(probed)) == 801
+    assert "hashpartitioning(term" not in probed._jdf.queryExecution().executedPlan().toString()
