@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 def _session(master: str | None) -> SparkSession:
     from tessera.session import ensure_checkpoint_dir, ship_package
-    b = SparkSession.builder.appName("tessera")
+    b = (SparkSession.builder.appName("tessera")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         b = b.master(master)
     spark = b.getOrCreate()
@@ -54,7 +55,7 @@ def cmd_latent(spark, a):
     train = rt.split_part(s, "train")
     pairs = s.where(F.col("split") != "train").drop("bucket")
     q0, p0, dq, dp = factors.pooled_gd(train, s, k=a.k, lr=a.lr, lam=a.lambdar, epochs=a.epochs)
-    pred = factors.predict(pairs, factors.shifted(q0, "q", dq), factors.shifted(p0, "p", dp), a.k)
+    pred = factors.predict(pairs, factors.shifted(q0, "q", dq), factors.shifted(p0, "p", dp))
     evaluate.mse(pred, by=["split"]).show()
 
 

@@ -61,6 +61,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Cuts lineage like a checkpoint, and the optimizer knows the table's real
+    size, so joins with it are planned by that.  The table goes with
+    :func:`drop_written` or when the session ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def drop_written(*frames: DataFrame) -> None:
+    """Delete tables made by :func:`written` that no later step reads."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._written_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
