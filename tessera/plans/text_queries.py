@@ -231,6 +231,17 @@ def q_tfidf_scores(spark, sf):
     return sc.select("query_id", "shard", "doc_id", rnd("score").alias("score"))
 
 
+@register("search_shard_top", O.with_ctes("""
+SELECT query_id, shard, doc_id, round(score, 6) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id, shard ORDER BY score DESC, doc_id DESC) AS r
+      FROM pq_sc) x WHERE r <= 30""", "pq_sc"))
+def q_search_shard_top(spark, sf):
+    """WIN-4: the 30 best scored documents of each query and shard (a top-k report)."""
+    _, post, idf, _ = _index(spark, sf)
+    top = SR.shard_top(SR.score(plot_queries(spark, sf), post, idf), 30)
+    return top.select("query_id", "shard", "doc_id", rnd("score").alias("score"))
+
+
 @register("search_plot", O.with_ctes(
     "SELECT query_id, rank, doc_id, title, url, snippet, round(score, 6) AS score FROM plot_res",
     "plot_res"))
