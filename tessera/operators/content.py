@@ -79,7 +79,7 @@ def user_profile(train: DataFrame, iprof: DataFrame) -> DataFrame:
     ua = user_average(train)
     c = (train.join(broadcast_if_small(ua), "user_id")
          .select("user_id", "item_id", (F.col("rating") - F.col("avg")).alias("c")))
-    return (c.join(broadcast_if_small(iprof), "item_id")
+    return (c.join(iprof, "item_id")
             .groupBy("user_id", "genre")
             .agg((F.sum("c") / (F.count(F.when(F.col("c") != 0, 1)) + F.lit(EPS)))
                  .alias("weight")))
@@ -95,12 +95,12 @@ def predict(train: DataFrame, pairs: DataFrame, iprof: DataFrame) -> DataFrame:
     unorm = uprof.groupBy("user_id").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("_un"))
     inorm = iprof.groupBy("item_id").agg(F.sqrt(F.count(F.lit(1)).cast("double")).alias("_in"))
     keys = pairs.select("user_id", "item_id").distinct()
-    dots = (keys.join(broadcast_if_small(iprof), "item_id")
+    dots = (keys.join(iprof, "item_id")
             .join(uprof, ["user_id", "genre"])
             .groupBy("user_id", "item_id").agg(F.sum("weight").alias("_dot")))
     out = (pairs.join(dots, ["user_id", "item_id"], "left")
            .join(broadcast_if_small(user_average(train)), "user_id", "left")
-           .join(unorm, "user_id", "left").join(broadcast_if_small(inorm), "item_id", "left"))
+           .join(unorm, "user_id", "left").join(inorm, "item_id", "left"))
     cos = (F.when((F.col("_un") > 0) & (F.col("_in") > 0),
                   F.coalesce("_dot", F.lit(0.0)) / (F.col("_un") * F.col("_in")))
            .otherwise(F.lit(0.0)))
