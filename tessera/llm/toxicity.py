@@ -2,9 +2,11 @@
 
 Method: a bounded sample of labelled texts (``MAX_EXAMPLES`` of each label, by
 hash order, a documented parameter) gives the examples.  Terms are lower-cased
-words; a term's weight is its inverse document frequency times the z-value of
-its difference between the labels, and terms below ``MIN_Z`` are left out, so
-that cosines compare what tells the labels apart.  The examples form a
+words; a term's weight is its inverse document frequency, counted over all
+documents, times the z-value of its difference between the labels among the
+examples, so that cosines compare what tells the labels apart.  Every term of
+the examples takes part (``MIN_Z`` 0): a z-value grows with the sample, so no
+fixed bound on it would suit all sizes.  The examples form a
 block-max inverted index: postings by term and block of ``BLOCK`` examples,
 with each block's largest weight.  A text's blocks are ranked by their upper
 bound; those that cannot reach the k-th best cosine are skipped, which leaves
@@ -38,8 +40,10 @@ from tessera.llm.windows import ranges
 
 MAX_EXAMPLES = 4000
 NEIGHBOURS = 15
-MIN_Z = 5.0
-BLOCK = 64
+MIN_Z = 0.0
+BLOCK = 512
+#: Terms that may also stand as dense rows.
+DENSE = 500
 #: Weight of the labels' share in a vote, in units of cosine.
 SHRINK = 0.1
 WORD = re.compile(r"[^\W\d_]+")
@@ -65,19 +69,41 @@ class Index:
     ids: list
     prior: float
 
+    def __post_init__(self):
+        self.dense = None  # made where it is used, not sent
+
+    def _widen(self):
+        """Terms of many examples also stand as dense rows: one product instead of long postings."""
+        size, blocks = len(self.toxic), self.block_max.shape[1]
+        count = np.diff(self.pointers[::blocks])
+        often = np.argsort(-count, kind="stable")[:DENSE]
+        often = often[count[often] * 16 >= max(1, size)]
+        self.slot = np.full(len(count), -1)
+        self.slot[often] = np.arange(len(often))
+        dense = np.zeros((len(often), size))
+        for i, t in enumerate(often.tolist()):
+            a, z = self.pointers[t * blocks], self.pointers[(t + 1) * blocks]
+            dense[i, self.rows[a:z]] = self.weights[a:z]
+        self.dense = dense
+
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        known = self.vocabulary
-        counts = Counter(known[w] for w in WORD.findall(text.lower()) if w in known)
+        counts = Counter(map(self.vocabulary.get, WORD.findall(text.lower())))
+        counts.pop(None, None)
         terms = np.fromiter(counts.keys(), np.int64, len(counts))
         value = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[terms]
         norm = math.sqrt(float((value * value).sum()))
         return terms, value / norm if norm else value
 
     def _cosines(self, terms, value, blocks) -> np.ndarray:
-        cell = (terms[:, None] * self.block_max.shape[1] + blocks[None, :]).ravel()
-        count = self.pointers[cell + 1] - self.pointers[cell]
-        at = ranges(self.pointers[cell], count)
-        each = np.repeat(np.repeat(value, len(blocks)), count)
+        all_blocks = self.block_max.shape[1]
+        if len(blocks) == all_blocks:  # a term's blocks stand in a row
+            start, count = self.pointers[terms * all_blocks], self.pointers[(terms + 1) * all_blocks]
+            count, each = count - start, value
+        else:
+            cell = (terms[:, None] * all_blocks + blocks[None, :]).ravel()
+            start, each = self.pointers[cell], np.repeat(value, len(blocks))
+            count = self.pointers[cell + 1] - start
+        at, each = ranges(start, count), np.repeat(each, count)
         return np.bincount(self.rows[at], self.weights[at] * each, minlength=len(self.toxic))
 
     def nearest(self, text: str, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
@@ -85,17 +111,27 @@ class Index:
         terms, value = self.vector(text)
         if not len(terms) or not len(self.toxic):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = value @ self.block_max[terms]
+        if self.dense is None:
+            self._widen()
+        slot = self.slot[terms]
+        rare = slot < 0
+        base = value[~rare] @ self.dense[slot[~rare]]
+        terms, value = terms[rare], value[rare]
+        bound = value @ self.block_max[terms] + np.maximum.reduceat(base, np.arange(0, len(base), BLOCK))
         order = np.argsort(-bound, kind="stable")
         head = order[:-(-k // BLOCK) + 1]
-        scores = self._cosines(terms, value, head)
-        least = np.sort(scores)[-k] if len(scores) >= k else 0.0
+        scores = base + self._cosines(terms, value, head)
+        least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
         more = order[len(head):]
         more = more[bound[more] * (1 + 1e-9) >= least]
         more = more[bound[more] > 0]
-        if len(more):
+        if 2 * len(more) >= len(order):
+            scores = base + self._cosines(terms, value, order)
+        elif len(more):
             scores = scores + self._cosines(terms, value, more)
-        best = np.argsort(-scores, kind="stable")[:k]
+        scores = np.round(scores, 12)  # equal examples stay equal
+        best = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) >= k else np.arange(len(scores))
+        best = best[np.argsort(-scores[best], kind="stable")][:k]
         best = best[scores[best] > 0]
         return best, scores[best]
 
@@ -119,13 +155,35 @@ def _terms(batches):
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("example", pa.int64()), ("term", pa.string()), ("n", pa.int64())]))
 
 
+def _frequencies(shared):
+    def run(batches):
+        known = shared.value
+        total = np.zeros(len(known), np.int64)
+        for batch in slices(batches, "text"):
+            for text in batch.column("text").to_pylist():
+                total[[known[w] for w in set(WORD.findall((text or "").lower())) if w in known]] += 1
+        t = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"t": t, "n": total[t]}, schema=pa.schema([("t", pa.int64()), ("n", pa.int64())]))
+    return run
+
+
+def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
+    """Documents that hold each term, and all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    found = docs.select("text").mapInArrow(_frequencies(shared), "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(vocabulary), np.int64)
+    df[found["t"].to_numpy()] = found["n"].to_numpy()
+    shared.unpersist()
+    return df, docs.count()
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = MAX_EXAMPLES,
         min_z: float = MIN_Z) -> Index:
     """Index over at most ``max_examples`` examples of each label.
 
-    ``labels`` (doc_id, label) are the rows to learn from.  Terms, their
-    frequencies and the weights are computed by Spark; the driver gets the
-    chosen terms and the examples' sparse vectors.
+    ``labels`` (doc_id, label) are the rows to learn from.  Terms and their
+    frequencies are counted by Spark; the driver gets the examples' terms and
+    sparse vectors.  ``min_z`` leaves terms below it out.
     """
     one = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
            .agg(F.max(F.col(label).cast("int")).alias("y")))
@@ -146,32 +204,38 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples:
     # expected counts under equal rates in both samples
     s1, s0 = max(1.0, toxic.sum()), max(1.0, size - toxic.sum())
     z = F.abs(F.col("n1") / s1 - F.col("n0") / s0) / F.sqrt((F.col("n1") + F.col("n0")) / F.lit(s1 + s0) * F.lit(1 / s1 + 1 / s0))
-    idf = F.log(F.lit(1.0 + size) / (1 + F.col("n1") + F.col("n0")))
-    chosen = stats.select("term", z.alias("z"), (idf * z).alias("weight")).where(F.col("z") >= min_z).orderBy("term").toPandas()
-    vocabulary = {t: i for i, t in enumerate(chosen["term"])}
-    weight = chosen["weight"].to_numpy(float)
-    rows = terms.join(F.broadcast(terms.sparkSession.createDataFrame(
-        [(t, i) for t, i in vocabulary.items()], "term string, t long")), "term").select("example", "t", "n").toPandas()
-    number = {e: i for i, e in enumerate(kept["example"])}
-    e = rows["example"].map(number).to_numpy(np.int64)
-    t = rows["t"].to_numpy(np.int64)
-    value = (1 + np.log(rows["n"].to_numpy(float))) * weight[t] if len(rows) else np.zeros(0)
+    chosen = (stats.select("term", F.xxhash64("term").alias("h"), z.alias("z")).where(F.col("z") >= min_z)
+              .orderBy("h").toArrow())
+    vocabulary = {t: i for i, t in enumerate(chosen["term"].to_pylist())}
+    df, n_docs = document_frequencies(docs, vocabulary)
+    weight = np.log((1.0 + n_docs) / (1 + df)) * chosen["z"].to_numpy()
+    # terms go by their hash, as 64-bit keys do elsewhere; columns come as Arrow, without an object a row
+    rows = terms.select(F.col("example"), F.xxhash64("term").alias("h"), "n").toArrow()
+    keys, h = chosen["h"].to_numpy(), rows["h"].to_numpy()
+    t = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1)).astype(np.int32)
+    known = keys[t] == h if len(keys) else np.zeros(len(h), bool)
+    t = t[known]
+    e = np.searchsorted(kept["example"].to_numpy(), rows["example"].to_numpy()[known]).astype(np.int32)
+    value = (1 + np.log(rows["n"].to_numpy()[known])) * weight[t]
+    del rows, chosen, h, known
     norm = np.sqrt(np.bincount(e, value * value, minlength=size)) if size else np.zeros(0)
-    value = value / norm[e] if len(rows) else value
+    norm[norm == 0] = 1.0
+    value = (value / norm[e]).astype(np.float32) if len(e) else value.astype(np.float32)
     # examples with the same weightiest term stand together: block bounds are tighter then
     heavy = np.full(size, len(vocabulary))
     by = np.lexsort((t, value, e))
     heavy[e[by]] = t[by]
+    del by
     place = np.empty(size, np.int64)
     place[np.lexsort((toxic, heavy))] = np.arange(size)
     back = np.argsort(place)
     blocks = max(1, -(-size // BLOCK))
     e = place[e] if len(e) else e
-    cell = t * blocks + e // BLOCK
+    cell = t * np.int64(blocks) + e // BLOCK
     by = np.lexsort((e, cell))
     e, t, value, cell = e[by], t[by], value[by], cell[by]
-    pointers = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=len(vocabulary) * blocks))]).astype(np.int64)
-    block_max = np.zeros(len(vocabulary) * blocks)
+    pointers = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=len(vocabulary) * blocks))]).astype(np.int32)
+    block_max = np.zeros(len(vocabulary) * blocks, np.float32)
     np.maximum.at(block_max, cell, value)
     stands = np.array([totals.get(0, 0) / max(1, size - toxic.sum()), totals.get(1, 0) / max(1, toxic.sum())])
     return Index(vocabulary, weight, pointers, e, value, block_max.reshape(len(vocabulary), blocks),
