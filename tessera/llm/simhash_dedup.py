@@ -113,7 +113,10 @@ def links(nodes: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """(doc_id, rid, fp, component_id, n_links): the fingerprint's group and its links to others."""
+    """(doc_id, rid, fp, root, component_id, n_links): the fingerprint's group and its links to others.
+
+    ``root`` is the group's least fingerprint; ``component_id`` may be null or shared by groups.
+    """
     rows = saved(fingerprints(docs, shingle), "op7-fingerprints")
     nodes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "op7-nodes")
     pairs = saved(links(nodes, bits), "op7-links")
@@ -122,15 +125,15 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFra
     member = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     of = saved(member.join(ids, "root").join(degree.withColumnRenamed("u", "fp"), "fp", "left")
-               .select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "op7-members")
+               .select("fp", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "op7-members")
     return rows.join(of, "fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One document of each group: that with the smallest doc_id (null last; repeated rows: one)."""
-    kept = (groups(docs, shingle, bits).groupBy("fp", "component_id")
-            .agg(F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("rid"), F.min("doc_id").alias("least"))
-            .groupBy("component_id").agg(F.min_by("rid", F.struct("least", "rid")).alias("_rid"), F.first("component_id").alias("_c")))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
+    kept = (groups(docs, shingle, bits).groupBy("fp", "root").agg(F.min(order).alias("first"))
+            .groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("_rid")))
     return _only(docs, kept)
 
 
