@@ -6,8 +6,8 @@ literal (a lower-cased word); the first three stand as typed placeholders.
 Windows of ``WINDOW`` template tokens are hash-joined between documents and
 items.  Windows that match along one alignment of a document and an item are
 put together; if they cover ``MIN_COVERED`` of the item's tokens, their slots
-are compared: each value in the item must have one value in the document
-throughout, else the match is chance.  Benchmark windows with fewer than
+are compared: a value of the item that has several values in the document drops
+the windows that hold it, and the others must still cover as much.  Benchmark windows with fewer than
 ``MIN_LITERALS`` literals say too little and are left out.
 
 All of it is DataFrame expressions.  The item side is broadcast if its windows
@@ -106,13 +106,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, min_c
              .select("rid", "doc_id", tokens(F.col("text")).alias("have"), "found")
              .select("rid", "doc_id", "have", F.explode("found").alias("f")).select("rid", "doc_id", "have", "f.*")
              .join(items, "item"))
+    is_slot = lambda p: F.get("slots", p).isin("#", "@", "~")
     places = F.array_distinct(F.flatten(F.transform("ps", lambda p: F.sequence(p, p + width - 1))))
-    slots = F.filter(places, lambda p: F.get("slots", p).isin("#", "@", "~"))
-    pairs = F.array_distinct(F.transform(slots, lambda p: F.struct(
+    pairs = F.array_distinct(F.transform(F.filter(places, is_slot), lambda p: F.struct(
         F.lower(F.get("toks", p)).alias("a"), F.lower(F.get("have", p + F.col("shift"))).alias("b"))))
-    judged = again.withColumn("pairs", pairs)
-    return (judged.where(F.size(F.array_distinct(F.transform("pairs", lambda x: x["a"]))) == F.size("pairs"))
-            .select("rid", "doc_id", "item", "item_id", "n_covered", F.size("slots").alias("n_tokens"), F.size("pairs").alias("n_slots"),
+    # a value of the item that has several in the document takes its windows with it
+    torn = F.filter(F.transform("pairs", lambda x: x["a"]), lambda a: F.size(F.filter("pairs", lambda x: x["a"] == a)) > 1)
+    whole = F.filter("ps", lambda p: ~F.exists(F.sequence(p, p + width - 1), lambda q: is_slot(q) & F.array_contains(
+        "torn", F.lower(F.get("toks", q)))))
+    judged = (again.withColumn("pairs", pairs).withColumn("torn", torn).withColumn("ps", whole).withColumn("n_covered", covered)
+              .where(F.col("n_covered") >= F.least(F.lit(min_covered), F.size("slots"))).withColumn("pairs", pairs))
+    return (judged.select("rid", "doc_id", "item", "item_id", "n_covered", F.size("slots").alias("n_tokens"), F.size("pairs").alias("n_slots"),
                     F.exists("pairs", lambda x: x["a"] != x["b"]).alias("reworded"))
             .groupBy("rid", "doc_id", "item", "item_id", "n_tokens")
             .agg(F.max("n_covered").alias("n_covered"), F.max("n_slots").alias("n_slots"), F.min("reworded").alias("reworded"))
