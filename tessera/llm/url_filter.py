@@ -67,15 +67,14 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
 
 
-def declared_target(html: Column) -> Column:
-    """The address a page's canonical link, or else its refresh, names (null: none)."""
+def declared_targets(html: Column) -> Column:
+    """The addresses a page's canonical link and its refresh name (empty: none)."""
     html = F.coalesce(html, F.lit(""))
     link = F.regexp_extract(html, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
     refresh = F.regexp_extract(html, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
     moved = F.trim(F.regexp_extract(_attribute(refresh, "content"), r"(?is)url\s*=\s*['\"]?([^'\"]*)", 1))
     named = F.trim(_attribute(link, "href"))
-    target = F.when(named != "", named).otherwise(moved)
-    return F.when(target != "", F.regexp_replace(target, "&amp;", "&"))
+    return F.transform(F.filter(F.array(named, moved), lambda t: t != ""), lambda t: F.regexp_replace(t, "&amp;", "&"))
 
 
 def _absolute(url: Column, target: Column) -> Column:
@@ -89,7 +88,7 @@ def _absolute(url: Column, target: Column) -> Column:
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """(u, v, url_u, url_v): a page and the address it redirects to or calls canonical."""
-    target = pages.where(F.col("url").contains("://")).select("url", declared_target(F.col("html")).alias("target")).where("target IS NOT NULL")
+    target = pages.where(F.col("url").contains("://")).select("url", F.explode(declared_targets(F.col("html"))).alias("target"))
     return (target.select(F.col("url").alias("url_u"), _absolute(F.col("url"), F.col("target")).alias("url_v"))
             .select(address(F.col("url_u")).alias("u"), address(F.col("url_v")).alias("v"), "url_u", "url_v")
             .where("u <> v").distinct())
