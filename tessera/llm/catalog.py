@@ -8,6 +8,7 @@ from tessera.llm import simhash_dedup as _op7  # noqa: F401
 from tessera.llm import quality_rules as _op9  # noqa: F401
 from tessera.llm import toxicity as _op1  # noqa: F401
 from tessera.llm import warc as _op3  # noqa: F401
+from tessera.llm import vector_codes as _op12  # noqa: F401
 from tessera.llm import url_filter as _op5  # noqa: F401
 from tessera.llm import suffix_dedup as _op4  # noqa: F401
 from tessera.llm.common import REGISTRY
