@@ -1,6 +1,7 @@
 """All registered queries of this subpackage."""
 
 from tessera.llm import decontaminate as _op2  # noqa: F401
+from tessera.llm import embedding_dedup as _op13  # noqa: F401
 from tessera.llm import kneser_ney as _op10  # noqa: F401
 from tessera.llm import phrase_dedup as _op6  # noqa: F401
 from tessera.llm import piece_codec as _op8  # noqa: F401
