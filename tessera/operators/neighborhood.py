@@ -1,9 +1,10 @@
 """Neighbourhood collaborative filtering (REC-7, REC-8, REC-10, REC-22).
 
-The prediction is restricted to the requested target pairs *before* the
-neighbours are expanded: targets join their entity's top-k neighbours
-(|targets| x k rows), which then join the neighbours' centred ratings on
-(neighbour, feature).  Nothing is computed for pairs nobody asked about.
+The prediction is restricted to the requested target pairs *before* anything
+is expanded.  A target meets the raters of its feature, which then join its
+entity's top-k neighbours, where the feature has at most k raters; else it meets
+the k neighbours, which join the feature's raters.  Either way a target
+expands to at most k rows.
 
 User-user (``entity='user_id'``) and item-item (``entity='item_id'``) are
 the same plan with the roles of the two id columns swapped.
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tessera.operators import similarity as S
 from tessera.operators.ratings import dense_index
 from tessera.plans.sizing import broadcast_if_small
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, written
 
 EPS = S.EPS
 
@@ -28,26 +29,36 @@ def _other(entity: str) -> str:
 
 
 def neighbours(train: DataFrame, entity: str, k: int, n_entities,
-               targets: DataFrame | None = None, chunk: int = S.DEFAULT_CHUNK,
+               targets: DataFrame | None = None, chunk: int = S.BLOCK,
                stats: DataFrame | None = None):
     """(centred ratings, stats, top-k neighbours ``(a, b, sim, rank)``).
 
-    The centred table feeds both sides of the self-join, the hot-feature
-    check and the neighbours' values, so its lineage is cut once with a
-    reliable checkpoint in the shared checkpoint folder: the upstream
-    derivation runs once and a lost executor re-reads the files.
+    The centred table and the candidate pairs are written once as tables in the
+    shared folder: the upstream derivation and the pair sums run once, and a
+    lost executor reads the files again.
     """
     feature = _other(entity)
     st = stats if stats is not None else S.entity_stats(train, entity)
-    cent = cut_lineage(S.centered(train, entity, feature, st))
-    # read twice below (ranking and partner counts): the pair join runs once
-    sims = cut_lineage(S.similarities(cent, entity, feature, targets, chunk))
-    return cent, st, S.top_k(sims, k, n_entities)
+    cent = written(S.centered(train, entity, feature, st), "cf-centred")
+    found = written(S.candidates(cent, entity, feature, k, targets, chunk), "cf-pairs")
+    counts = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("_nco"))
+    return cent, st, S.top_k(found.where("b IS NOT NULL").drop("n"), k, n_entities, counts)
+
+
+def _met(pairs: DataFrame, nb: DataFrame, vals: DataFrame, entity: str, feature: str, k: int) -> DataFrame:
+    """(entity, feature, sim, v) for each pair and neighbour that rated the feature."""
+    near = nb.select(F.col("a").alias(entity), "b", "sim")
+    raters = vals.groupBy(feature).agg(F.count(F.lit(1)).alias("_raters"))
+    sized = pairs.join(raters, feature)
+    few = sized.where(F.col("_raters") <= k).drop("_raters").join(vals, feature).join(near, [entity, "b"])
+    many = sized.where(F.col("_raters") > k).drop("_raters").join(near, entity).join(vals, ["b", feature])
+    cols = [entity, feature, "sim", "v"]
+    return few.select(*cols).unionByName(many.select(*cols))
 
 
 def predict(train: DataFrame, targets: DataFrame, k: int = 100,
             entity: str = "user_id", n_entities=None, bias: bool = True,
-            chunk: int = S.DEFAULT_CHUNK) -> DataFrame:
+            chunk: int = S.BLOCK) -> DataFrame:
     """Predict ``pred`` for every row of ``targets`` (user_id, item_id, ...).
 
     bias=True (REC-8 / REC-10):
@@ -65,12 +76,12 @@ def predict(train: DataFrame, targets: DataFrame, k: int = 100,
     tkeys = targets.select("user_id", "item_id").distinct()
     cent, st, nb = neighbours(train, entity, k, n_entities,
                               targets=tkeys.select(entity), chunk=chunk)
-    expanded = tkeys.join(nb.select(F.col("a").alias(entity), "b", "sim"), entity)
     if bias:
         vals = cent.select(F.col(entity).alias("b"), feature, F.col("c").alias("v"))
     else:
         vals = train.select(F.col(entity).alias("b"), feature, F.col("rating").alias("v"))
-    contrib = (expanded.join(vals, ["b", feature])
+    nb = written(nb, "cf-neighbours")
+    contrib = (_met(tkeys, nb, vals, entity, feature, k)
                .groupBy("user_id", "item_id")
                .agg(F.sum(F.col("sim") * F.col("v")).alias("_num"),
                     F.sum("sim").alias("_den")))
@@ -105,7 +116,7 @@ def _first_untaken(users: DataFrame, taken: DataFrame, items: DataFrame, n: int)
 
 
 def recommend(train: DataFrame, users: DataFrame, k: int = 100, n: int = 10,
-              n_entities=None, chunk: int = S.DEFAULT_CHUNK,
+              n_entities=None, chunk: int = S.BLOCK,
               items: DataFrame | None = None) -> DataFrame:
     """REC-22: top-``n`` unrated items per user by the bias-adjusted user-CF score.
 

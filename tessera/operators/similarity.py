@@ -7,16 +7,24 @@ mean, so a constant rater centres to exact zeros), ``c = r - mean`` and
 
     sim(a, b) = sum_f c_af * c_bf / (norm_a + EPS) / (norm_b + EPS)
 
-Rows with ``c == 0`` add nothing to any sum and are dropped before the
-self-join.  The self-join on ``feature`` emits one row per unordered
-co-rating pair (mirrored after summing);
-features rated by more than ``chunk`` entities are split two-dimensionally
-(salt on both sides) so no task handles more than about ``chunk^2`` pairs
-of one feature.  Pair rows are summed with partial aggregation.
+Rows with ``c == 0`` add nothing to any sum and are dropped first.
+
+The sums are a sparse Gram product, computed in blocks: entities are dealt into
+blocks of about ``block``, and a task meets two of them.  It adds up all
+products of its pairs locally, feature by feature, so that a row leaves it for
+each co-rated pair and not for each co-rating.  What is shuffled is every
+rating once for each block, whatever the degrees of the features.  Where two
+blocks hold more than ``TASK_ROWS`` ratings, the features are dealt into parts
+as well and the parts' sums added, so neither a hot feature nor a hot entity
+fills a task.  For top-k neighbours a task passes on at most about k partners of
+an entity from each block, and their count.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,8 +32,14 @@ from pyspark.sql import functions as F
 from tessera.plans.sizing import broadcast_if_small
 
 EPS = 1e-9
-DEFAULT_CHUNK = 20000          # entities per salted slice of a hot feature
-MAX_HOT_BROADCAST_ROWS = 1_000_000
+#: Entities of a block: a task holds block x block sums and counts (12 bytes each).
+BLOCK = 2048
+#: Ratings of two blocks that one task takes.
+TASK_ROWS = 4_000_000
+#: Products that are formed at a time.
+PRODUCTS = 4_000_000
+#: Partners nearer than this to the k-th stay: ``top_k`` ranks by 9 decimals.
+SLACK = 2e-9
 
 
 def entity_stats(train: DataFrame, entity: str) -> DataFrame:
@@ -55,56 +69,163 @@ def centered(train: DataFrame, entity: str, feature: str,
             .where(F.col("c") != 0))
 
 
-def _salted_sides(cent: DataFrame, entity: str, feature: str, chunk: int):
-    """Left/right inputs of the self-join with hot features split in 2-D."""
-    deg = cent.groupBy(feature).agg(F.count(F.lit(1)).alias("_d"))
-    hot = (deg.where(F.col("_d") > chunk)
-           .select(feature, F.ceil(F.col("_d") / F.lit(chunk)).cast("int").alias("_S")))
-    n_hot = hot.count()                     # aggregated, at most nnz / chunk rows
-    if n_hot == 0:
-        return cent, cent, [feature]
-    hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_BROADCAST_ROWS else hot
-    tagged = cent.join(hot_side, feature, "left").withColumn(
-        "_S", F.coalesce(F.col("_S"), F.lit(1)))
-    own = F.pmod(F.xxhash64(F.col(entity)), F.col("_S")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_S") - 1))
-    left = tagged.withColumn("_sa", own).withColumn("_sb", every)
-    right = tagged.withColumn("_sb", own).withColumn("_sa", every)
-    return left.drop("_S"), right.drop("_S"), [feature, "_sa", "_sb"]
+def _runs(keys: np.ndarray, n: int) -> np.ndarray:
+    """Start of each key's run in sorted ``keys`` (0 .. n - 1), and the end."""
+    return np.searchsorted(keys, np.arange(n + 1))
+
+
+def _products(left: tuple, right: tuple, n_features: int, shape: tuple, upper: bool):
+    """(sums, counts) of the products of two blocks, flat over ``shape``.
+
+    A side is (feature, entity, value) by feature; ``upper`` keeps pairs of
+    ascending entities, where both sides are the same block.
+    """
+    lf, le, lv = left
+    rf, re, rv = right
+    starts = _runs(rf, n_features)
+    partners = np.diff(starts)[lf]
+    done = np.cumsum(partners)
+    sums, counts = np.zeros(shape[0] * shape[1]), np.zeros(shape[0] * shape[1], np.int32)
+    at = 0
+    while at < len(lf):
+        end = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + PRODUCTS, side="right")))
+        n = partners[at:end]
+        each = np.repeat(np.arange(at, end), n)
+        other = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + starts[lf[each]]
+        if upper:
+            ok = le[each] < re[other]
+            each, other = each[ok], other[ok]
+        cell = le[each] * shape[1] + re[other]
+        sums += np.bincount(cell, weights=lv[each] * rv[other], minlength=len(sums))
+        counts += np.bincount(cell, minlength=len(counts)).astype(np.int32)
+        at = end
+    return sums, counts
+
+
+def _pairs_of_blocks(t: pa.Table):
+    """((entities, targets) of each side, sums, counts) of the blocks i and j of a task."""
+    i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    block, value, wanted = (t.column(c).to_numpy() for c in ("block", "cn", "target"))
+    names = t.column("entity").combine_chunks().dictionary_encode()
+    features = t.column("feature").combine_chunks().dictionary_encode()
+    entity, feature = names.indices.to_numpy(), features.indices.to_numpy()
+
+    def side(b):
+        at = np.flatnonzero(block == b)
+        at = at[np.argsort(feature[at], kind="stable")]
+        own, first, local = np.unique(entity[at], return_index=True, return_inverse=True)
+        return (feature[at], local, value[at]), (names.dictionary.take(pa.array(own)), wanted[at][first])
+    left, a = side(i)
+    right, b = (left, a) if i == j else side(j)
+    shape = len(a[0]), len(b[0])
+    return (a, b), _products(left, right, len(features.dictionary), shape, i == j), shape
+
+
+def _summed(t: pa.Table) -> pa.Table:
+    """Unordered pairs that hold a target, with the task's share of their sum."""
+    (a, b), (sums, counts), shape = _pairs_of_blocks(t)
+    x, y = np.divmod(np.flatnonzero(counts), shape[1])
+    keep = a[1][x] | b[1][y]
+    x, y = x[keep], y[keep]
+    one, two, sim, ta, tb = a[0].take(pa.array(x)), b[0].take(pa.array(y)), sums[x * shape[1] + y], a[1][x], b[1][y]
+    if a is b:  # the local order of one block's entities is the task's own: name pairs alike in all parts
+        turn = pc.greater(one, two)
+        one, two = pc.if_else(turn, two, one), pc.if_else(turn, one, two)
+        turn = turn.to_numpy(zero_copy_only=False)
+        ta, tb = np.where(turn, tb, ta), np.where(turn, ta, tb)
+    return pa.table({"a": one, "b": two, "sim": sim, "ta": pa.array(ta), "tb": pa.array(tb)})
+
+
+def _nearest(k: int):
+    """(a, b, sim, n): the pairs of each target a that can be among its k first, and a row with their count."""
+    def run(t: pa.Table) -> pa.Table:
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        (a, b), (sums, counts), shape = _pairs_of_blocks(t)
+        cells = np.flatnonzero(counts)
+        x, y = np.divmod(cells, shape[1])
+        sim = sums[cells]
+        out = []
+        # each side in turn; within one block every pair has both ways
+        ways = [(a, b, x, y, sim)] + ([(b, a, y, x, sim)] if i != j else [])
+        if i == j:
+            ways = [(a, a, np.r_[x, y], np.r_[y, x], np.r_[sim, sim])]
+        for (own, wanted), (others, _), p, q, s in ways:
+            keep = wanted[p]
+            p, q, s = p[keep], q[keep], s[keep]
+            order = np.lexsort((-s, p))
+            p, q, s = p[order], q[order], s[order]
+            starts = _runs(p, len(own))
+            n = np.diff(starts)
+            last = np.where(n > k, s[np.minimum(starts[:-1] + k - 1, max(len(s) - 1, 0))] if len(s) else 0.0, -np.inf)
+            near = s >= last[p] - SLACK
+            out.append(pa.table({"a": own.take(pa.array(p[near])), "b": others.take(pa.array(q[near])), "sim": s[near],
+                                 "n": pa.nulls(int(near.sum()), pa.int64())}))
+            some = np.flatnonzero(n)
+            out.append(pa.table({"a": own.take(pa.array(some)), "b": pa.nulls(len(some), others.type), "sim": pa.nulls(len(some), pa.float64()),
+                                 "n": pa.array(n[some])}))
+        return pa.concat_tables(out)
+    return run
+
+
+def _dealt(cent: DataFrame, entity: str, feature: str, targets: DataFrame | None, block: int, task_rows: int):
+    """(ratings sent to every pair of blocks that holds theirs, parts of the features)."""
+    rows = cent.select(F.col(entity).alias("entity"), F.col(feature).alias("feature"), "cn")
+    if targets is None:
+        rows = rows.withColumn("target", F.lit(True))
+    else:
+        asked = targets.select(F.col(entity).alias("entity")).distinct().withColumn("target", F.lit(True))
+        rows = (rows.join(broadcast_if_small(asked), "entity", "left")
+                .withColumn("target", F.coalesce("target", F.lit(False))))
+    n_entities = rows.agg(F.approx_count_distinct("entity", 0.02)).collect()[0][0]
+    n_blocks = max(1, -(-n_entities // block))
+    mine = F.pmod(F.xxhash64("entity"), F.lit(n_blocks)).cast("int")
+    largest = rows.groupBy(mine.alias("block")).count().agg(F.max("count")).collect()[0][0] or 0
+    parts = max(1, -(-2 * largest // task_rows))
+    part = F.pmod(F.xxhash64("feature", F.lit(1)), F.lit(parts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+    sent = (rows.withColumn("block", mine).withColumn("part", part).withColumn("other", every)
+            .select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "part", "block", "entity", "feature", "cn", "target"))
+    return sent.groupBy("i", "j", "part"), parts, rows.schema["entity"].dataType.simpleString()
 
 
 def similarities(cent: DataFrame, entity: str, feature: str,
                  targets: DataFrame | None = None,
-                 chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                 chunk: int = BLOCK, task_rows: int = TASK_ROWS) -> DataFrame:
     """(a, b, sim) for every co-rated pair a != b with ``a`` in ``targets``.
 
-    Similarity is symmetric, so the self-join emits each *unordered* pair once
-    (``a < b``, kept when either side is a target), sums it, and mirrors the
-    sum to both orders afterwards -- half the pair rows through the dominant
-    join, shuffle and aggregate.  ``targets`` (one column named ``entity``)
-    restricts the output to entities that need neighbours.  Pairs whose dot
+    ``targets`` (one column named ``entity``) restricts the output to entities
+    that need neighbours; ``chunk`` is the size of a block.  Pairs whose dot
     product is 0 still appear with sim 0.
     """
-    if targets is None:
-        flagged = cent.withColumn("_t", F.lit(True))
-    else:
-        tf = targets.select(entity).distinct().withColumn("_t", F.lit(True))
-        flagged = (cent.join(broadcast_if_small(tf), entity, "left")
-                   .withColumn("_t", F.coalesce(F.col("_t"), F.lit(False))))
-    left, right, keys = _salted_sides(flagged, entity, feature, chunk)
-    lcols = [F.col(entity).alias("a"), F.col("cn").alias("cn_a"), F.col("_t").alias("_ta")]
-    rcols = [F.col(entity).alias("b"), F.col("cn").alias("cn_b"), F.col("_t").alias("_tb")]
-    pairs = (left.select(*lcols, *keys).join(right.select(*rcols, *keys), keys)
-             .where((F.col("a") < F.col("b")) & (F.col("_ta") | F.col("_tb"))))
-    sums = pairs.groupBy("a", "b").agg(F.sum(F.col("cn_a") * F.col("cn_b")).alias("sim"),
-                                       F.max("_ta").alias("_ta"), F.max("_tb").alias("_tb"))
-    both = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y"), F.col("_ta").alias("k")),
-                   F.struct(F.col("b").alias("x"), F.col("a").alias("y"), F.col("_tb").alias("k")))
+    groups, parts, kind = _dealt(cent, entity, feature, targets, chunk, task_rows)
+    sums = groups.applyInArrow(_summed, f"a {kind}, b {kind}, sim double, ta boolean, tb boolean")
+    if parts > 1:
+        # the order of a pair is that of its blocks, the same in all parts
+        sums = sums.groupBy("a", "b").agg(F.sum("sim").alias("sim"), F.max("ta").alias("ta"), F.max("tb").alias("tb"))
+    both = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y"), F.col("ta").alias("k")),
+                   F.struct(F.col("b").alias("x"), F.col("a").alias("y"), F.col("tb").alias("k")))
     return (sums.select(F.explode(both).alias("p"), "sim").where(F.col("p.k"))
             .select(F.col("p.x").alias("a"), F.col("p.y").alias("b"), "sim"))
 
 
-def top_k(sims: DataFrame, k: int, n_entities: Column | int) -> DataFrame:
+def candidates(cent: DataFrame, entity: str, feature: str, k: int,
+               targets: DataFrame | None = None, chunk: int = BLOCK, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(a, b, sim, n): what :func:`top_k` needs of :func:`similarities` for ``k``.
+
+    Rows with ``b`` null count the co-rated partners of ``a`` (their ``n`` add
+    up); the others hold every partner that can rank among the first ``k``,
+    from each pair of blocks.
+    """
+    groups, parts, kind = _dealt(cent, entity, feature, targets, chunk, task_rows)
+    if parts == 1:
+        return groups.applyInArrow(_nearest(k), f"a {kind}, b {kind}, sim double, n long")
+    # sums of parts are whole only after the shuffle; its window limits them map-side
+    sims = similarities(cent, entity, feature, targets, chunk, task_rows)
+    return sims.select("a", "b", "sim", F.lit(None).cast("long").alias("n")).unionByName(
+        sims.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select("a", F.lit(None).cast(kind).alias("b"), F.lit(None).cast("double").alias("sim"), "n"))
+
+
+def top_k(sims: DataFrame, k: int, n_entities: Column | int, counts: DataFrame | None = None) -> DataFrame:
     """Neighbours of each ``a`` as a dense top-k over all other entities would pick.
 
     The dense ranking puts positives first, then every entity with
@@ -116,14 +237,15 @@ def top_k(sims: DataFrame, k: int, n_entities: Column | int) -> DataFrame:
     partners of ``a``.  Both are >= rn, so every kept row has ``rn <= k``:
     one ``row_number() <= k`` window (a per-partition limit before the
     shuffle, so a hot ``a`` is trimmed map-side) plus a partially aggregated
-    count per ``a`` decide everything.
+    count per ``a`` decide everything.  ``counts`` (a, _nco) gives the counts
+    where ``sims`` lacks pairs that cannot rank.
     """
     n_all = n_entities if isinstance(n_entities, Column) else F.lit(n_entities)
     sign_class = F.when(F.col("sim") > 0, 0).when(F.col("sim") == 0, 1).otherwise(2)
     order = W.partitionBy("a").orderBy(sign_class, F.round("sim", 9).desc(), F.col("b").asc())
     head = (sims.withColumn("_rn", F.row_number().over(order))
             .where(F.col("_rn") <= k))
-    n_co = sims.groupBy("a").agg(F.count(F.lit(1)).alias("_nco"))
+    n_co = sims.groupBy("a").agg(F.count(F.lit(1)).alias("_nco")) if counts is None else counts
     neg_rank = (n_all - 1) - F.col("_nco") + F.col("_rn")
     rank = F.when(F.col("sim") > 0, F.col("_rn")).when(F.col("sim") < 0, neg_rank)
     return (head.join(n_co, "a").withColumn("rank", rank)
