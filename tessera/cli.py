@@ -80,7 +80,8 @@ def cmd_search(spark, a):
     post, idf, store = index.read_index(spark, a.index)
     q = spark.createDataFrame([(1, a.q)], "query_id long, q string")
     fn = search.search_person if a.person else search.search_plot
-    res = fn(q, post, idf, store)
+    maxima = index.read_maxima(spark, a.index) if "block" in post.columns else None
+    res = fn(q, post, idf, store, maxima=maxima)
     for row in search.search_json(q, res, person=a.person).collect():
         print(row.json)
 

@@ -17,22 +17,28 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import shard_of
 from tessera.functions.text import people_text, person_list, tokenize
-from tessera.session import cut_lineage
+from tessera.session import written
 
 N_INDEX_SHARDS = 3
 N_DOC_SHARDS = 1
+#: Documents of a block of the index, about.
+BLOCK_DOCS = 64
+#: Blocks of a length class are numbered below it.
+CLASS_BLOCKS = 1 << 40
 
 
 def _content_tokens(docs: DataFrame):
     return F.concat(tokenize(F.lower("title")), tokenize(F.lower("text")))
 
 
-def doc_terms(docs: DataFrame, with_people: bool = True) -> DataFrame:
-    """``(doc_id, term, tf, in_content)`` from ONE tokenization pass.
+def doc_terms(docs: DataFrame, with_people: bool = True, spread: int | None = None) -> DataFrame:
+    """``(doc_id, term, tf, in_content, in_people, tokens)`` from ONE tokenization pass.
 
     ``tf`` counts title + text (+ people) occurrences; ``in_content`` says
-    the term occurs in the title or text (the IDF vocabulary).  Postings,
-    document frequencies and the document count all derive from this table.
+    the term occurs in the title or text (the IDF vocabulary), ``in_people`` in a
+    person field; ``tokens`` is the document's number of tokens.  Postings, document frequencies and the document count all
+    derive from this table.  ``spread`` deals the documents into that many
+    partitions first, for inputs whose files are fewer than the cores.
     """
     content = F.transform(_content_tokens(docs), lambda t: F.struct(t.alias("t"), F.lit(1).alias("c")))
     toks = content
@@ -40,9 +46,11 @@ def doc_terms(docs: DataFrame, with_people: bool = True) -> DataFrame:
         people = F.transform(tokenize(people_text()),
                              lambda t: F.struct(t.alias("t"), F.lit(0).alias("c")))
         toks = F.concat(content, people)
-    return (docs.select("doc_id", F.explode(toks).alias("x"))
-            .groupBy("doc_id", F.col("x.t").alias("term"))
-            .agg(F.count(F.lit(1)).alias("tf"), F.max("x.c").alias("in_content")))
+    rows = docs if spread is None else docs.repartition(spread)
+    rows = rows.select("doc_id", toks.alias("_toks")).select("doc_id", F.size("_toks").alias("_n"), F.explode("_toks").alias("x"))
+    return (rows.groupBy("doc_id", F.col("x.t").alias("term"))
+            .agg(F.count(F.lit(1)).alias("tf"), F.max("x.c").alias("in_content"), (1 - F.min("x.c")).alias("in_people"),
+                 F.max("_n").alias("tokens")))
 
 
 def term_frequencies(docs: DataFrame, with_people: bool = True) -> DataFrame:
@@ -54,9 +62,31 @@ def term_frequencies(docs: DataFrame, with_people: bool = True) -> DataFrame:
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def with_blocks(dt: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """Adds ``block``: documents of like length (half an octave), about ``block_docs`` of them.
+
+    Long documents hold the high frequencies, so maxima over a block follow its
+    documents closely.  Only the number of documents in each length class (at
+    most about 60 rows) reaches the driver; it decides the size of blocks alone,
+    so an estimate will do.
+    """
+    size = F.floor(2 * F.log2("tokens")).cast("long")
+    counted = dt.groupBy(size.alias("c")).agg(F.approx_count_distinct("doc_id").alias("n")).collect()
+    blocks = F.lit(1)
+    for r in sorted(counted):
+        blocks = F.when(size == r.c, F.lit(-(-r.n // block_docs))).otherwise(blocks)
+    return dt.withColumn("block", size * F.lit(CLASS_BLOCKS) + F.pmod(F.xxhash64("doc_id"), blocks.cast("long")))
+
+
+def block_maxima(post: DataFrame) -> DataFrame:
+    """``(term, block, max_tf)``: the most a block's documents hold of a term."""
+    return post.groupBy("term", "block").agg(F.max("tf").alias("max_tf"))
+
+
 def postings_from_terms(dt: DataFrame, n_shards: int = N_INDEX_SHARDS) -> DataFrame:
+    extra = [c for c in ("block", "in_content", "in_people") if c in dt.columns]
     return dt.select(shard_of("doc_id", n_shards).cast("int").alias("shard"),
-                     "term", "doc_id", "tf")
+                     "term", "doc_id", "tf", *extra)
 
 
 def postings(docs: DataFrame, n_shards: int = N_INDEX_SHARDS) -> DataFrame:
@@ -96,19 +126,20 @@ def idf_from_terms(dt: DataFrame, smooth: bool = False, docs: DataFrame | None =
     return document_frequencies(dt).select("term", "df", F.log(n / F.col("df")).alias("idf"))
 
 
-def idf(docs: DataFrame, smooth: bool = False) -> DataFrame:
+def idf(docs: DataFrame, smooth: bool = False, spread: int | None = None) -> DataFrame:
     """TXT-6 / TXT-7 from documents: content terms tokenized once, lineage
-    cut (reliable checkpoint) because both df and N read them."""
-    dt = cut_lineage(doc_terms(docs, with_people=False))
+    written because both df and N read them."""
+    dt = written(doc_terms(docs, with_people=False, spread=spread), "doc-terms")
     return idf_from_terms(dt, smooth, docs)
 
 
 def build_index(docs: DataFrame, n_shards: int = N_INDEX_SHARDS,
-                n_doc_shards: int = N_DOC_SHARDS):
+                n_doc_shards: int = N_DOC_SHARDS, spread: int | None = None):
     """TXT-5 + TXT-6 + TXT-8: ``(postings, idf, docstore)`` from one
-    tokenization pass over the corpus (checkpointed doc-terms table)."""
-    dt = cut_lineage(doc_terms(docs, with_people=True))
-    return postings_from_terms(dt, n_shards), idf_from_terms(dt), docstore(docs, n_doc_shards)
+    tokenization pass over the corpus (a written doc-terms table).  The postings
+    carry their block and where the term stands, for block-max search."""
+    dt = written(doc_terms(docs, with_people=True, spread=spread), "doc-terms")
+    return postings_from_terms(with_blocks(dt), n_shards), idf_from_terms(dt), docstore(docs, n_doc_shards)
 
 
 def docstore(docs: DataFrame, n_shards: int = N_DOC_SHARDS) -> DataFrame:
@@ -140,14 +171,23 @@ def write_index(post: DataFrame, idf_df: DataFrame, store: DataFrame, path: str)
     Postings are range-partitioned on (shard, term) -- many files per shard,
     each covering a term range -- so Parquet min/max statistics prune files
     and row groups for term lookups.  ``doc_id`` is part of the range key, so
-    the postings of a very frequent term spread over several files.
+    the postings of a very frequent term spread over several files.  Block
+    maxima lie beside them, a row for each term and block.
     """
     (post.repartitionByRange("shard", "term", "doc_id").sortWithinPartitions("shard", "term", "doc_id")
      .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/postings"))
+    if "block" in post.columns:
+        (block_maxima(post).repartitionByRange("term", "block").sortWithinPartitions("term", "block")
+         .write.mode("overwrite").parquet(f"{path}/maxima"))
     idf_df.write.mode("overwrite").parquet(f"{path}/idf")
     store.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/docstore")
 
 
+def read_maxima(spark, path: str) -> DataFrame:
+    """Block maxima of an index that :func:`write_index` wrote."""
+    return spark.read.parquet(f"{path}/maxima")
+
+
 def read_index(spark, path: str):
     return (spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/idf"),
             spark.read.parquet(f"{path}/docstore"))

@@ -34,9 +34,14 @@ def person_queries(spark, sf):
                     F.split_part("c_name", F.lit("#"), F.lit(2)).alias("q"))
 
 
+def _cores(spark):
+    """Partitions for tokenizing: the given documents may lie in one row group."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _index(spark, sf):
     docs = B.docs(spark, sf)
-    return (docs,) + IX.build_index(docs, N_SHARDS)
+    return (docs,) + IX.build_index(docs, N_SHARDS, spread=_cores(spark))
 
 
 # ------------------------------------------------------------- SQL side ------
@@ -180,7 +185,7 @@ def q_postings(spark, sf):
 
 @register("idf", O.with_ctes("SELECT term, df, round(idf, 6) AS idf FROM idf", "idf"))
 def q_idf(spark, sf):
-    return IX.idf(B.docs(spark, sf, with_credits=False)).select("term", "df", rnd("idf").alias("idf"))
+    return IX.idf(B.docs(spark, sf, with_credits=False), spread=_cores(spark)).select("term", "df", rnd("idf").alias("idf"))
 
 
 @register("idf_smooth", O.with_ctes("""
@@ -188,7 +193,7 @@ SELECT term, COUNT(*) AS df,
        round(ln(CAST((SELECT COUNT(*) FROM docs) + 1 AS DOUBLE) / COUNT(*)), 6) AS idf
 FROM ctoks GROUP BY term""", "ctoks", "docs"))
 def q_idf_smooth(spark, sf):
-    return IX.idf(B.docs(spark, sf, with_credits=False), smooth=True).select(
+    return IX.idf(B.docs(spark, sf, with_credits=False), smooth=True, spread=_cores(spark)).select(
         "term", "df", rnd("idf").alias("idf"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators.ratings import dedupe_ratings
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, written
 from tessera.sources.tables import table
 
 NO_GENRES = "(no genres listed)"
@@ -84,7 +84,7 @@ def docs(spark: SparkSession, sf_dir: str, with_credits: bool = True) -> DataFra
 
     The credits (a join over line items, orders, customers and suppliers)
     are small -- at most 12 names per part -- and are read by several
-    consumers, so their lineage is cut once; ``with_credits=False`` leaves
+    consumers, so they are written once; ``with_credits=False`` leaves
     them out entirely (empty arrays) for jobs that never read people.
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,7 +95,7 @@ def docs(spark: SparkSession, sf_dir: str, with_credits: bool = True) -> DataFra
     if not with_credits:
         return d.join(p, "doc_id").select("doc_id", "title", "text", empty.alias("actors"),
                                            empty.alias("directors"), "writer")
-    cr = cut_lineage(credits(spark, sf_dir))
+    cr = written(credits(spark, sf_dir), "credits")
     return (d.join(p, "doc_id").join(cr, "doc_id", "left")
             .select("doc_id", "title", "text",
                     F.coalesce("actors", empty).alias("actors"),
