@@ -80,7 +80,6 @@ def predict(train: DataFrame, targets: DataFrame, k: int = 100,
         vals = cent.select(F.col(entity).alias("b"), feature, F.col("c").alias("v"))
     else:
         vals = train.select(F.col(entity).alias("b"), feature, F.col("rating").alias("v"))
-    nb = written(nb, "cf-neighbours")
     contrib = (_met(tkeys, nb, vals, entity, feature, k)
                .groupBy("user_id", "item_id")
                .agg(F.sum(F.col("sim") * F.col("v")).alias("_num"),
