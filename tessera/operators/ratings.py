@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import md5_int
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, written
 
 _DEDUPE = {
     "max": F.max,            # fixture convention
@@ -61,6 +61,64 @@ def with_split(ratings: DataFrame, seed: int = 1, n_buckets: int = 10,
             .withColumn("split", split_label(F.col("bucket"), n_train, n_valid)))
 
 
+#: Bits of the split key that a round of the rank search settles.
+DIGIT = 12
+
+
+def keys_at_ranks(rows: DataFrame, key: str, ranks: list[int], bits: int = 32, digit: int = DIGIT) -> list[tuple[int, int]]:
+    """(value, place) for each rank (from 0): the ``key`` at that rank of the sorted
+    table, and the rank's place among the rows of that value.
+
+    Keys are integers under ``2 ** bits``.  A round counts, for each rank, the
+    next ``digit`` bits of the keys that share the bits found so far: at most
+    ``2 ** digit`` counts a rank reach the driver, and no row is sorted or moved.
+    """
+    found, below, left = [0] * len(ranks), list(ranks), bits
+    while left:
+        width = min(digit, left)
+        value = F.col(key)
+        which = F.array(*[F.struct(F.lit(n).alias("n"), (F.shiftright(value, left) == f).alias("here")) for n, f in enumerate(found)])
+        bins = (rows.select(F.explode(F.filter(which, lambda w: w["here"])).alias("w"),
+                            F.shiftright(value, left - width).bitwiseAND((1 << width) - 1).alias("bin"))
+                .groupBy("w.n", "bin").count().collect())
+        counts = [{} for _ in ranks]
+        for r in bins:
+            counts[r.n][r.bin] = r["count"]
+        for n, here in enumerate(counts):
+            for b in sorted(here):
+                if below[n] < here[b]:
+                    break
+                below[n] -= here[b]
+            found[n] = found[n] << width | b
+        left -= width
+    return list(zip(found, below))
+
+
+def exact_split(ratings: DataFrame, train: float = 0.8, valid: float = 0.5, seed: int = 1) -> DataFrame:
+    """SPL-1 with exact sizes: round(train * n) rows train, round(valid * rest) validate, the rest test.
+
+    Rows are ranked by (md5_int("user_item_seed"), user_id, item_id), and the
+    two border rows are found by :func:`keys_at_ranks`; of the few rows that
+    share a border's key, the first by id up to it are taken.  Every row is then
+    labelled on its own.  (user, item) pairs are distinct.
+    """
+    key = md5_int(F.concat_ws("_", F.col("user_id").cast("string"), F.col("item_id").cast("string"), F.lit(str(seed))))
+    rows = written(ratings.withColumn("_key", key), "split-keys")
+    n = rows.count()
+    n_train = round(train * n)
+    ends = [n_train, n_train + round(valid * (n - n_train))]
+    label = F.lit("test")
+    asked = [e - 1 for e in ends if e]
+    at = dict(zip([e for e in ends if e], keys_at_ranks(rows, "_key", asked) if asked else []))
+    for end, name in reversed(list(zip(ends, ("train", "valid")))):
+        if end:
+            value, place = at[end]
+            last = rows.where(F.col("_key") == value).orderBy("user_id", "item_id").select("user_id", "item_id").limit(place + 1).collect()[-1]
+            tie = (F.col("user_id") < last.user_id) | ((F.col("user_id") == last.user_id) & (F.col("item_id") <= last.item_id))
+            label = F.when((F.col("_key") < value) | ((F.col("_key") == value) & tie), F.lit(name)).otherwise(label)
+    return rows.withColumn("split", label).drop("_key")
+
+
 def random_split(ratings: DataFrame, weights=(0.8, 0.1, 0.1), seed: int = 1):
     """Bernoulli split with Spark's ``randomSplit`` (approximate sizes)."""
     return ratings.randomSplit(list(weights), seed=seed)

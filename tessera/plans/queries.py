@@ -88,6 +88,16 @@ def q_split_counts(spark, sf):
                  F.min("rating").alias("min_rating"), F.max("rating").alias("max_rating")))
 
 
+@register("split_exact", O.with_ctes(f"""
+SELECT user_id, item_id, rating, CASE WHEN r <= n_train THEN 'train'
+       WHEN r <= n_train + round_even((n - n_train) * 0.5, 0) THEN 'valid' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY {O.md5_int("concat(user_id, '_', item_id, '_1')")}, user_id, item_id) AS r,
+             count(*) OVER () AS n, round_even(count(*) OVER () * 0.8, 0) AS n_train FROM ratings) t""", "ratings"))
+def q_split_exact(spark, sf):
+    """SPL-1: every rating's part, 80 / 10 / 10 with sizes exact to a row."""
+    return rt.exact_split(B.ratings(spark, sf)).select("user_id", "item_id", "rating", "split")
+
+
 @register("split_overlap", O.with_ctes("""
 SELECT (SELECT COUNT(*) FROM (SELECT user_id, item_id FROM split WHERE split = 'train'
                               INTERSECT SELECT user_id, item_id FROM split WHERE split = 'test') x) AS n_overlap,
