@@ -160,9 +160,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, min_c
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, literal: bool = False) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; all columns stay."""
-    leaks = find_leaks(docs, benchmark, literal=literal).select(F.col("rid").alias("_rid")).distinct()
-    own = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
-    return docs.join(leaks.hint("shuffle_hash"), own == F.col("_rid"), "left_anti")
+    leaks = find_leaks(docs, benchmark, literal=literal).select("rid").distinct()
+    # the row travels in a struct, so its columns may have any name
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    packed = docs.select(row.alias("doc"), F.xxhash64(F.col("doc_id").cast("string"), F.col("text")).alias("rid"))
+    clean = packed.join(leaks.hint("shuffle_hash"), "rid", "left_anti")
+    return clean.select(*[F.col(f"doc.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 @REGISTRY("op2_template_decontamination")
