@@ -112,27 +112,34 @@ def links(nodes: DataFrame, bits: int = BITS) -> DataFrame:
                   & (manhattan(counts(u), counts(v)) <= bits) & near & first).select(u.alias("u"), v.alias("v"))
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """(doc_id, rid, fp, root, component_id, n_links): the fingerprint's group and its links to others.
+def members(rows: DataFrame, bits: int = BITS) -> DataFrame:
+    """(fp, root, component_id, n_links) of each distinct fingerprint of :func:`fingerprints`.
 
     ``root`` is the group's least fingerprint; ``component_id`` may be null or shared by groups.
     """
-    rows = saved(fingerprints(docs, shingle), "op7-fingerprints")
     nodes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "op7-nodes")
     pairs = saved(links(nodes, bits), "op7-links")
     degree = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("n_links"))
     roots = connected_components(pairs).withColumnRenamed("node", "fp")
     member = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = saved(member.join(ids, "root").join(degree.withColumnRenamed("u", "fp"), "fp", "left")
-               .select("fp", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "op7-members")
-    return rows.join(of, "fp")
+    return saved(member.join(ids, "root").join(degree.withColumnRenamed("u", "fp"), "fp", "left")
+                 .select("fp", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "op7-members")
+
+
+def groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """(doc_id, rid, fp, root, component_id, n_links): the fingerprint's group and its links to others."""
+    rows = saved(fingerprints(docs, shingle), "op7-fingerprints")
+    return rows.join(members(rows, bits), "fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One document of each group: that with the smallest doc_id (null last; repeated rows: one)."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
-    kept = (groups(docs, shingle, bits).groupBy("fp", "root").agg(F.min(order).alias("first"))
+    rows = saved(fingerprints(docs, shingle), "op7-fingerprints")
+    # the least row of a fingerprint is known before the join, so a hot fingerprint sends one row to it
+    least = rows.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = (least.join(members(rows, bits).select("fp", "root"), "fp")
             .groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("_rid")))
     return _only(docs, kept)
 
