@@ -23,7 +23,8 @@ nothing with.
 
 Defined cases: a null text has no words; rows with one doc_id count as one
 document for the order (equal windows at one start are then both kept); a null
-doc_id sorts first; an empty table gives an empty result; separators inside a
+doc_id sorts first; doc_ids that are no integers count in their sort order; an
+empty table gives an empty result; separators inside a
 document do not matter, words are compared unchanged.
 """
 
@@ -36,9 +37,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm import windows as W
 from tessera.llm.common import REGISTRY, drop_saved, saved, slices, table, texts_of
+from tessera.operators.ratings import dense_index
 
 LENGTH = 20
 GRAM = 5
@@ -51,8 +54,13 @@ SPAN = 64
 
 def _documents(docs: DataFrame) -> DataFrame:
     """(rid, ord, text): the row key, and the document's place in the order."""
-    return docs.select(F.xxhash64(F.col("doc_id").cast("string"), "text").alias("rid"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("ord"), "text")
+    rid = F.xxhash64(F.col("doc_id").cast("string"), "text").alias("rid")
+    first = F.lit(-(1 << 63))
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return docs.select(rid, F.coalesce(F.col("doc_id").cast("long"), first).alias("ord"), "text")
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    rows = docs.select("doc_id", rid, "text").join(dense_index(ids, ["doc_id"], "ord"), "doc_id", "left")
+    return rows.select("rid", F.coalesce("ord", first).alias("ord"), "text")
 
 
 def _runs(data, offsets, length, gram):
@@ -223,8 +231,10 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tupl
                       .where("n > 1").select("core", "owner"), "op6-recurring")
     shards = max(1, -(-recurring.count() // SHARD_PHRASES))
     place = F.pmod(F.xxhash64("owner"), F.lit(shards)) * 2 + (F.col("owner") == F.col("rid")).cast("long")
-    keys = saved(phrases.join(recurring, "core").select("rid", "core", place.alias("place")).groupBy("rid")
-                 .agg(F.collect_list("core").alias("cores"), F.collect_list("place").alias("places")), "op6-keys")
+    # repeated rows share a key, so their list holds each phrase once
+    keys = saved(phrases.join(recurring, "core").select("rid", F.struct("core", place.alias("place")).alias("key"))
+                 .groupBy("rid").agg(F.collect_set("key").alias("keys"))
+                 .select("rid", F.col("keys.core").alias("cores"), F.col("keys.place").alias("places")), "op6-keys")
     drop_saved(phrases, recurring)
     stretches = saved(rows.join(keys.hint("shuffle_hash"), "rid").select("rid", "ord", "text", "cores", "places")
                       .mapInArrow(_stretches(length, gram), STRETCH_DDL), "op6-stretches")
