@@ -20,7 +20,8 @@ Defined cases: a null or empty text, or one without a known term, scores the
 share of toxic labels; without labels every score is 0; a document with
 several labels counts as toxic if one says so, null labels are ignored;
 repeated rows score alike; ties for the k-th place go to the smaller example
-number; extra columns stay in :func:`keep_clean`.
+number; doc_ids are of any type; an empty table gives an empty result; extra
+columns stay in :func:`keep_clean`.
 """
 
 from __future__ import annotations
@@ -28,12 +29,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.llm.common import REGISTRY, saved, slices, table
 from tessera.llm.windows import ranges
@@ -68,6 +71,7 @@ class Index:
     toxic: np.ndarray
     ids: list
     prior: float
+    id_type: T.DataType = field(default_factory=T.LongType)
 
     def __post_init__(self):
         self.dense = None  # made where it is used, not sent
@@ -240,10 +244,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples:
     stands = np.array([totals.get(0, 0) / max(1, size - toxic.sum()), totals.get(1, 0) / max(1, toxic.sum())])
     return Index(vocabulary, weight, pointers, e, value, block_max.reshape(len(vocabulary), blocks),
                  stands[toxic.astype(int)][back] if size else np.zeros(0), toxic[back] if size else toxic,
-                 [kept["doc_id"].tolist()[i] for i in back], prior)
+                 [kept["doc_id"].tolist()[i] for i in back], prior, docs.schema["doc_id"].dataType)
 
 
-def _score(shared, k: int):
+def _score(shared, k: int, id_type: pa.DataType):
     def run(batches):
         index = shared.value
         for batch in slices(batches, "text"):
@@ -252,7 +256,7 @@ def _score(shared, k: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names] + [pa.array([s for s, _ in judged], pa.float64()),
                                                     pa.array([int(s >= 0.5) for s, _ in judged], pa.int32()),
-                                                    pa.array([e for _, e in judged], pa.list_(pa.int64()))],
+                                                    pa.array([e for _, e in judged], pa.list_(id_type))],
                 names + ["score", "predicted", "evidence"])
     return run
 
@@ -262,7 +266,8 @@ def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        _score(shared, k), f"doc_id {kind}, score double, predicted int, evidence array<long>")
+        _score(shared, k, to_arrow_type(index.id_type)),
+        f"doc_id {kind}, score double, predicted int, evidence array<{index.id_type.simpleString()}>")
 
 
 def keep_clean(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
@@ -271,7 +276,8 @@ def keep_clean(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     packed = docs.select(row.alias("doc"), "text")
     kind = packed.schema["doc"].dataType.simpleString()
-    judged = packed.mapInArrow(_score(shared, k), f"doc {kind}, score double, predicted int, evidence array<long>")
+    judged = packed.mapInArrow(_score(shared, k, to_arrow_type(index.id_type)),
+                               f"doc {kind}, score double, predicted int, evidence array<{index.id_type.simpleString()}>")
     return judged.where("predicted = 0").select(*[F.col(f"doc.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
