@@ -1,20 +1,16 @@
 """Field extraction from stored movie pages (HTM-1..10) and generic page text.
 
-Everything except the related-movies walk is a built-in regex expression
-(JVM side).  HTM-9 needs to follow anchors in document order and look at the
-text after each one, so it is a vectorized pandas UDF around the standard
-library's ``html.parser`` -- a small per-page helper, run in parallel over
-the pages' partitions.
+Everything is a built-in expression (JVM side).  HTM-9, which follows anchors
+in document order and looks at the text after each one, works on an array of
+anchor structs.
 """
 
 from __future__ import annotations
 
 from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MAX_ACTORS = 10
 MAX_DIRECTORS = 2
@@ -99,54 +95,60 @@ def _py_slice(s: Column, start: int, stop: int | None) -> Column:
     return F.when(end > start, F.substr(s, F.lit(start + 1), end - start)).otherwise(F.lit(""))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def related_movies(pages: pd.Series) -> pd.Series:
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once for each row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute, quoted or not; null where the tag has none."""
+    pat = rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    value = F.concat(*[F.regexp_extract(tag, pat, g) for g in (1, 2, 3)])
+    return F.when(tag.rlike(pat), unescape(value))
+
+
+def _anchor(part: Column) -> Column:
+    """(href, id, after) of the anchor whose page part starts behind ``<a``.
+
+    ``after`` is the first text behind the anchor, where no tag opens before it.
+    """
+    tag = F.regexp_extract(part, r"""^((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", 1)
+    closed = tag.endswith("/") & ~tag.rlike(r"""=\s*[^\s"'>]+$""")   # the slash is no part of a bare value
+    behind = F.when(closed, F.substr(part, F.length(tag) + 2)).otherwise(
+        F.try_element_at(F.split(part, r"(?i)</a\s*>", 2), F.lit(2)))
+    text = F.regexp_extract(behind, r"^(?:</[a-zA-Z][^>]*>)*([^<]+)", 1)
+    return F.struct(_attribute(tag, "href").alias("href"), _attribute(tag, "id").alias("id"),
+                    F.when(text != "", unescape(text)).alias("after"))
+
+
+def _followers(anchors: Column, start: str) -> Column:
+    """Targets behind the first anchor named ``start``, up to one without a target or a text behind it."""
+    at = F.array_position(F.transform(anchors, lambda a: F.coalesce(a["id"], F.lit(""))), start).cast("int")
+
+    def until_stop(rest):
+        stop = F.array_position(F.transform(rest, lambda a: a["href"].isNull() | a["after"].isNull()), True).cast("int")
+        return F.slice(rest, F.lit(1), F.when(stop > 0, stop - 1).otherwise(F.size(rest)))
+
+    rest = F.slice(anchors, at + 1, F.when(at > 0, F.size(anchors)).otherwise(F.lit(0)))
+    one = F.filter(_once(rest, until_stop), lambda a: F.size(F.split(F.substr(a["after"], F.lit(2)), r"\(", -1)) == 2)
+    return F.transform(one, lambda a: F.substr(a["href"], F.lit(8)))
+
+
+def related_movies(html="html") -> Column:
     """HTM-9: ids (href[7:]) of the links after the ``follows`` / ``followed_by``
-    anchors whose trailing text holds exactly one '('."""
-    from html.parser import HTMLParser
-
-    class Walk(HTMLParser):
-        """Anchors in order, each with the first text node after its </a>."""
-
-        def __init__(self):
-            super().__init__()
-            self.anchors, self.state = [], None
-
-        def handle_starttag(self, tag, attrs):
-            if tag == "a":
-                a = dict(attrs)
-                self.anchors.append({"href": a.get("href"), "id": a.get("id"), "after": None})
-                self.state = "in"
-            elif self.state == "after":
-                self.state = None
-
-        def handle_endtag(self, tag):
-            if tag == "a" and self.state == "in":
-                self.state = "after"
-
-        def handle_data(self, data):
-            if self.state == "after":
-                self.anchors[-1]["after"] = data
-                self.state = None
-
-    def one(html):
-        if html is None:
-            return []
-        w = Walk()
-        w.feed(html)
-        out, a = [], w.anchors
-        for start in ("follows", "followed_by"):
-            idx = next((i for i, x in enumerate(a) if x["id"] == start), None)
-            if idx is None:
-                continue
-            for x in a[idx + 1:]:
-                if x["href"] is None or x["after"] is None:
-                    break
-                if len(x["after"][1:].split("(")) == 2:
-                    out.append(x["href"][7:])
-        return out
-
-    return pages.map(one)
+    anchors whose trailing text holds exactly one '('.
+
+    Only pages that name one of the two are taken apart; others, and null pages,
+    give an empty array.
+    """
+    h = _col(html)
+    shown = F.regexp_replace(h, r"(?s)<!--.*?-->", "")
+    shown = F.regexp_replace(shown, r"(?is)(<(script|style)\b[^>]*>).*?</\2\s*>", "$1</$2>")
+    parts = F.split(shown, r"(?i)<a(?=[\s>/])", -1)
+    anchors = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _anchor)
+    found = _once(anchors, lambda a: F.concat(_followers(a, "follows"), _followers(a, "followed_by")))
+    named = h.rlike(r"""(?i)\bid\s*=\s*["']?(?:follows|followed_by)\b""")
+    return F.when(named, found).otherwise(F.array().cast("array<string>"))
 
 
 def plot_summary(html="html") -> Column:
