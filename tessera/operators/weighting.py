@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.stopwords import STOP_WORDS_EN, WHITESPACE
 from tessera.functions.text import tokenize
-from tessera.plans.sizing import broadcast_if_small
 from tessera.session import cut_lineage
 
 TITLE_BOOST = 4
+#: More frequent terms than this are never broadcast.
+HOT_TERMS = 200_000
 
 
 def whitespace_words(col) -> F.Column:
@@ -38,14 +39,31 @@ def strip_stop_words(df: DataFrame, text: str = "text", out: str = "synopsis",
         .drop("_words", "_kept")
 
 
+def with_idf(tf: DataFrame, idf: DataFrame, hot_terms: int = HOT_TERMS) -> DataFrame:
+    """``tf`` rows (doc_id, term, tf) with the idf of their term (term, df, idf).
+
+    A term that stands in more than one in ``hot_terms`` of all rows meets its idf by
+    broadcast, so its rows stay where they are.  The df of all terms add up to the rows,
+    so fewer than ``hot_terms`` terms are that frequent, whatever the corpus.  The rows of
+    the others are shuffled by term; no term has more than that share of all rows there.
+    """
+    rows = tf.select(F.count(F.lit(1))).scalar()
+    often = F.col("df") * hot_terms > rows
+    hot = idf.where(often).select("term", F.col("idf").alias("_hot"))
+    met = tf.join(F.broadcast(hot), "term", "left").select("doc_id", "term", "tf", "_hot")
+    rare = met.where("_hot IS NULL").drop("_hot").join(idf.where(~often).select("term", "idf"), "term")
+    return (met.where("_hot IS NOT NULL").withColumnRenamed("_hot", "idf")
+            .unionByName(rare.select("doc_id", "term", "tf", "idf")))
+
+
 def boosted_tfidf(docs: DataFrame, boost: int = TITLE_BOOST,
-                  stop_words=STOP_WORDS_EN) -> DataFrame:
+                  stop_words=STOP_WORDS_EN, hot_terms: int = HOT_TERMS) -> DataFrame:
     """TXT-10: ``(doc_id, term, weight)`` of L2-normalised TF-IDF vectors.
 
     Text = title repeated ``boost`` times + text, lower-cased, tokenized,
     stop words removed; tf = raw count, idf = ln((1 + n) / (1 + df)) + 1
-    (smoothed), weight = tf * idf / ||tf * idf||.  The counts are written once
-    (checkpoint), so the corpus is tokenized once.
+    (smoothed), weight = tf * idf / ||tf * idf||.  The counts and the idf are
+    written once (checkpoint), so the corpus is tokenized once.
     """
     body = F.concat_ws(" ", *([F.col("title")] * boost), F.col("text"))
     remover = StopWordsRemover(inputCol="_toks", outputCol="_kept",
@@ -54,9 +72,8 @@ def boosted_tfidf(docs: DataFrame, boost: int = TITLE_BOOST,
     tf = cut_lineage(kept.select("doc_id", F.explode("_kept").alias("term"))
                      .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()
-    idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-           .select("term", (F.log((F.lit(1.0) + n) / (F.col("df") + 1)) + 1).alias("idf")))
-    w = tf.join(broadcast_if_small(idf), "term").select(
-        "doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    idf = cut_lineage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+                      .select("term", "df", (F.log((F.lit(1.0) + n) / (F.col("df") + 1)) + 1).alias("idf")))
+    w = with_idf(tf, idf, hot_terms).select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("doc_id")))
     return w.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
