@@ -14,6 +14,9 @@
   key's values as a stream over the sorted partition, so no key's values are
   held in memory at once.
 
+``piped(lines, mapper, reducer, n_reducers)`` is the same job with external
+programs that read lines on stdin and write lines on stdout.
+
 Built-in DataFrame operators are faster for anything they can express (word
 count is ``explode`` + ``groupBy``); this is the escape hatch for arbitrary
 user code, as the reference's stdin/stdout jobs were.
@@ -22,6 +25,7 @@ user code, as the reference's stdin/stdout jobs were.
 from __future__ import annotations
 
 import itertools
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,6 +73,46 @@ def map_reduce(df: DataFrame, mapper, reducer, n_reducers: int, out_schema: str,
     return shuffled.mapInPandas(reduce_side, out_schema)
 
 
+# ------------------------------------------------------- external programs ----
+
+def through_program(lines: DataFrame, command: str) -> DataFrame:
+    """Output lines of ``command``, started once for each partition, as column ``line``.
+
+    Each row's only column is a line on its stdin; a null row gives none, and a row with
+    line breaks gives several.  Lines of its output end at LF, CR or CRLF.  A program that
+    ends with an error fails its task.  ``command`` is for a shell, on every executor;
+    files sent with ``SparkContext.addFile`` are on its path.
+    """
+    spark, (column,) = lines.sparkSession, lines.columns
+    view = f"_piped_{uuid.uuid4().hex}"
+    lines.where(F.col(f"`{column}`").isNotNull()).createOrReplaceTempView(view)
+    quoted = command.replace("\\", "\\\\").replace("'", "\\'")
+    # a field separator that no text line holds keeps a line in one column
+    whole = r"ROW FORMAT DELIMITED FIELDS TERMINATED BY '\u0001' LINES TERMINATED BY '\n'"
+    try:
+        return spark.sql(f"SELECT TRANSFORM(`{column}`) {whole} USING '{quoted}' AS (line string) {whole} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def key_values(lines: DataFrame) -> DataFrame:
+    """FLT-6: (key, value) of the lines that hold exactly one tab; others are dropped."""
+    return (lines.select(F.split("line", "\t", -1).alias("kv")).where("size(kv) = 2")
+            .select(F.col("kv")[0].alias("key"), F.col("kv")[1].alias("value")))
+
+
+def piped(lines: DataFrame, mapper: str, reducer: str, n_reducers: int) -> DataFrame:
+    """TXT-22: a mapper and a reducer program over lines; the reducers' output as column ``line``.
+
+    The mapper writes ``key<TAB>value`` lines; lines of another form are dropped.  Pairs go to
+    reducer ``shard_of(key, n_reducers)``, which reads them sorted by key.
+    """
+    pairs = key_values(through_program(lines, mapper))
+    dealt = (pairs.repartitionById(n_reducers, shard_of("key", n_reducers).cast("int"))
+             .sortWithinPartitions("key"))
+    return through_program(dealt.select(F.concat_ws("\t", "key", "value").alias("line")), reducer)
+
+
 # ---------------------------------------------------------- word count job ----
 
 def word_mapper(batch: pd.DataFrame) -> pd.DataFrame:
