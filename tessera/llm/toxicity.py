@@ -8,9 +8,9 @@ examples, so that cosines compare what tells the labels apart.  Every term of
 the examples takes part (``MIN_Z`` 0): a z-value grows with the sample, so no
 fixed bound on it would suit all sizes.  The examples form a
 block-max inverted index: postings by term and block of ``BLOCK`` examples,
-with each block's largest weight.  A text's blocks are ranked by their upper
-bound; those that cannot reach the k-th best cosine are skipped, which leaves
-the k nearest exact.  Votes are weighted by cosine and by how many labelled
+with each block's largest weight.  Frequent terms are met by one product for a
+batch of texts; blocks whose upper bound cannot reach the k-th best of it are
+skipped for the other terms, which leaves the k nearest exact.  Votes are weighted by cosine and by how many labelled
 rows an example of its label stands for, and shrunk to the labels' share.
 
 The index is at most ``2 * MAX_EXAMPLES`` sparse rows whatever the corpus, and
@@ -46,10 +46,23 @@ NEIGHBOURS = 15
 MIN_Z = 0.0
 BLOCK = 512
 #: Terms that may also stand as dense rows.
-DENSE = 500
+DENSE = 1000
+#: Texts of one product over the dense terms.
+TEXTS = 512
+#: More than the error of a single-precision product over ``DENSE`` terms of unit vectors, twice.
+SLACK = 2e-4
 #: Weight of the labels' share in a vote, in units of cosine.
 SHRINK = 0.1
 WORD = re.compile(r"[^\W\d_]+")
+#: ASCII letters in lower case, anything else a space.
+LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c in range(256))
+
+
+def words(text: str) -> list[str]:
+    """Lower-cased words; ASCII texts take a faster way to the same."""
+    if text.isascii():
+        return text.encode().translate(LETTERS).decode().split()
+    return WORD.findall(text.lower())
 
 
 def held_out(doc_id: Column, parts: int = 5, part: int = 0) -> Column:
@@ -76,29 +89,42 @@ class Index:
     def __post_init__(self):
         self.dense = None  # made where it is used, not sent
 
+    def __getstate__(self):
+        return self.__dict__ | {"dense": None, "slot": None}
+
     def _widen(self):
-        """Terms of many examples also stand as dense rows: one product instead of long postings."""
+        """Frequent terms also stand as dense rows, for one product a batch of texts."""
         size, blocks = len(self.toxic), self.block_max.shape[1]
         count = np.diff(self.pointers[::blocks])
         often = np.argsort(-count, kind="stable")[:DENSE]
-        often = often[count[often] * 16 >= max(1, size)]
+        often = often[count[often] * 64 >= max(1, size)]
         self.slot = np.full(len(count), -1)
         self.slot[often] = np.arange(len(often))
-        dense = np.zeros((len(often), size))
+        dense = np.zeros((len(often), size), np.float32)
         for i, t in enumerate(often.tolist()):
             a, z = self.pointers[t * blocks], self.pointers[(t + 1) * blocks]
             dense[i, self.rows[a:z]] = self.weights[a:z]
         self.dense = dense
 
+    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(terms, weights) of each text; a batch looks a word up in the vocabulary once."""
+        counts = [Counter(words(t)) for t in texts]
+        known = {w: self.vocabulary.get(w, -1) for w in set().union(*counts)}
+        out = []
+        for count in counts:
+            terms = np.fromiter(map(known.__getitem__, count), np.int64, len(count))
+            times = np.fromiter(count.values(), float, len(count))
+            terms, times = terms[terms >= 0], times[terms >= 0]
+            value = (1 + np.log(times)) * self.idf[terms]
+            norm = math.sqrt(float((value * value).sum()))
+            out.append((terms, value / norm if norm else value))
+        return out
+
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        counts = Counter(map(self.vocabulary.get, WORD.findall(text.lower())))
-        counts.pop(None, None)
-        terms = np.fromiter(counts.keys(), np.int64, len(counts))
-        value = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[terms]
-        norm = math.sqrt(float((value * value).sum()))
-        return terms, value / norm if norm else value
-
-    def _cosines(self, terms, value, blocks) -> np.ndarray:
+        return self.vectors([text])[0]
+
+    def _postings(self, terms, value, blocks) -> np.ndarray:
+        """Each example's sum over its postings of ``terms`` in ``blocks``."""
         all_blocks = self.block_max.shape[1]
         if len(blocks) == all_blocks:  # a term's blocks stand in a row
             start, count = self.pointers[terms * all_blocks], self.pointers[(terms + 1) * all_blocks]
@@ -110,49 +136,69 @@ class Index:
         at, each = ranges(start, count), np.repeat(each, count)
         return np.bincount(self.rows[at], self.weights[at] * each, minlength=len(self.toxic))
 
-    def nearest(self, text: str, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest positive cosine, and the cosines."""
-        terms, value = self.vector(text)
-        if not len(terms) or not len(self.toxic):
-            return np.zeros(0, np.int64), np.zeros(0)
-        if self.dense is None:
-            self._widen()
+    def _best(self, terms, value, base, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``base``: the frequent terms' part of each example's cosine, in single precision."""
         slot = self.slot[terms]
         rare = slot < 0
-        base = value[~rare] @ self.dense[slot[~rare]]
-        terms, value = terms[rare], value[rare]
-        bound = value @ self.block_max[terms] + np.maximum.reduceat(base, np.arange(0, len(base), BLOCK))
+        low, weight = terms[rare], value[rare]
+        bound = weight @ self.block_max[low] + np.maximum.reduceat(base, np.arange(0, len(base), BLOCK))
         order = np.argsort(-bound, kind="stable")
-        head = order[:-(-k // BLOCK) + 1]
-        scores = base + self._cosines(terms, value, head)
+        floor = np.partition(base, -k)[-k] if len(base) >= k else 0.0  # weights are not negative
+        if floor > SLACK:
+            order = order[bound[order] >= floor - SLACK]
+        part = self._postings(low, weight, order)
+        scores = base + part
         least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-        more = order[len(head):]
-        more = more[bound[more] * (1 + 1e-9) >= least]
-        more = more[bound[more] > 0]
-        if 2 * len(more) >= len(order):
-            scores = base + self._cosines(terms, value, order)
-        elif len(more):
-            scores = scores + self._cosines(terms, value, more)
-        scores = np.round(scores, 12)  # equal examples stay equal
-        best = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) >= k else np.arange(len(scores))
-        best = best[np.argsort(-scores[best], kind="stable")][:k]
-        best = best[scores[best] > 0]
-        return best, scores[best]
+        near = np.flatnonzero(scores >= least - SLACK) if least > SLACK else np.flatnonzero(scores > 0)
+        # both parts are summed term by term for each example: equal examples stay equal
+        dense = self.dense[slot[~rare][:, None], near[None, :]]
+        cosine = np.round(part[near] + (dense * value[~rare][:, None]).sum(axis=0), 12)
+        best = np.argsort(-cosine, kind="stable")[:k]
+        best = best[cosine[best] > 0]
+        return near[best], cosine[best]
+
+    def nearest_of(self, texts: list[str], k: int = NEIGHBOURS):
+        """For each text, the k examples with the largest positive cosine, and the cosines.
+
+        The product over the frequent terms is in single precision; examples within its error
+        (``SLACK``) of the k-th place are scored again in double precision.
+        """
+        if self.dense is None:
+            self._widen()
+        for at in range(0, len(texts), TEXTS):
+            vectors = self.vectors(texts[at:at + TEXTS])
+            often = np.zeros((len(vectors), len(self.dense)), np.float32)
+            for i, (terms, value) in enumerate(vectors):
+                slot = self.slot[terms]
+                often[i, slot[slot >= 0]] = value[slot >= 0]
+            for (terms, value), base in zip(vectors, often @ self.dense):
+                if len(terms) and len(base):
+                    yield self._best(terms, value, base, k)
+                else:
+                    yield np.zeros(0, np.int64), np.zeros(0)
 
-    def judge(self, text: str, k: int = NEIGHBOURS) -> tuple[float, list]:
-        """(score, the three nearest examples' ids)."""
-        best, cosine = self.nearest(text, k)
-        vote = cosine * self.votes[best]
+    def nearest(self, text: str, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        return next(self.nearest_of([text], k))
+
+    def judge_all(self, texts: list[str], k: int = NEIGHBOURS) -> list[tuple[float, list]]:
+        """(score, the three nearest examples' ids) of each text."""
         scale = SHRINK * float(self.votes.mean()) if len(self.votes) else 1.0
-        score = (float((vote * self.toxic[best]).sum()) + scale * self.prior) / (float(vote.sum()) + scale)
-        return min(1.0, max(0.0, score)), [self.ids[i] for i in best[:3]]
+        out = []
+        for best, cosine in self.nearest_of(texts, k):
+            vote = cosine * self.votes[best]
+            score = (float((vote * self.toxic[best]).sum()) + scale * self.prior) / (float(vote.sum()) + scale)
+            out.append((min(1.0, max(0.0, score)), [self.ids[i] for i in best[:3]]))
+        return out
+
+    def judge(self, text: str, k: int = NEIGHBOURS) -> tuple[float, list]:
+        return self.judge_all([text], k)[0]
 
 
 def _terms(batches):
     for batch in slices(batches, "text"):
         out = {"example": [], "term": [], "n": []}
         for example, text in zip(batch.column("example").to_pylist(), batch.column("text").to_pylist()):
-            for term, n in Counter(WORD.findall((text or "").lower())).items():
+            for term, n in Counter(words(text or "")).items():
                 out["example"].append(example)
                 out["term"].append(term)
                 out["n"].append(n)
@@ -164,8 +210,12 @@ def _frequencies(shared):
         known = shared.value
         total = np.zeros(len(known), np.int64)
         for batch in slices(batches, "text"):
+            found = Counter()  # a slice looks a word up in the vocabulary once
             for text in batch.column("text").to_pylist():
-                total[[known[w] for w in set(WORD.findall((text or "").lower())) if w in known]] += 1
+                found.update(set(words(text or "")))
+            for word, n in found.items():
+                if word in known:
+                    total[known[word]] += n
         t = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"t": t, "n": total[t]}, schema=pa.schema([("t", pa.int64()), ("n", pa.int64())]))
     return run
@@ -251,7 +301,7 @@ def _score(shared, k: int, id_type: pa.DataType):
     def run(batches):
         index = shared.value
         for batch in slices(batches, "text"):
-            judged = [index.judge(t or "", k) for t in batch.column("text").to_pylist()]
+            judged = index.judge_all([t or "" for t in batch.column("text").to_pylist()], k)
             names = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names] + [pa.array([s for s, _ in judged], pa.float64()),
