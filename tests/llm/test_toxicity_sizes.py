@@ -24,3 +24,9 @@ def test_every_term_and_all_documents_count(spark):
     df, n = T.document_frequencies(spark.createDataFrame(docs, "doc_id long, text string"), index.vocabulary)
     assert n == 20 and df[index.vocabulary["rare"]] == 9 and df[index.vocabulary["common"]] == 20
     assert index.judge("you vile thing")[0] >= 0.5 > index.judge("a kind thing")[0]
+
+
+def test_words_equal_the_pattern():
+    texts = ["", "A b-C d_e 9f", "Ünder éa b İstanbul Kelvin x y", "ΑΣ'Α ΟΔΟΣ tail", "日本語 text, текст Δ2δ it's", "a\x1cb\x00c\u0085d e"]
+    for t in texts:
+        assert sorted(T.words(t)) == sorted(T.WORD.findall(t.lower()))
