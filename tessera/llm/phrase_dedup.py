@@ -48,7 +48,8 @@ GRAM = 5
 SHARD_PHRASES = 50_000
 SALT_BYTES = 8 << 20
 
-#: A run is kept as first * SPAN + (last - first): its order is that of first.
+#: A run is kept as first * SPAN + (last - first), with its anchor as that * SPAN + (anchor - first):
+#: its order is that of first.
 SPAN = 64
 
 
@@ -64,7 +65,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def _runs(data, offsets, length, gram):
-    """(row, anchor, first, last, core) of each text's runs, and its words' bounds."""
+    """(row, anchor, first, last, core) of each text's runs."""
     begin, end = W.word_bounds_by_text(data, offsets)
     values = W.word_values(data, begin, end)
     row_of = np.searchsorted(offsets, begin, side="right") - 1
@@ -79,18 +80,18 @@ def _runs(data, offsets, length, gram):
         shift = at[piece] - starts[piece]
         out.append((row[piece], anchor + shift, first + shift, last + shift,
                     W.span_hash(prefix, anchor, anchor + gram).view(np.int64)))
-    joined = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
-    return joined, begin, end, base
+    return [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
 
 
 def _phrases(length: int, gram: int):
     def run(batches):
         for batch in slices(batches, "text", 2 << 20):
             data, offsets = texts_of(batch.column("text"))
-            (row, _, _, _, core), *_ = _runs(data, offsets, length, gram)
+            row, anchor, first, last, core = _runs(data, offsets, length, gram)
             if len(row):
                 rid = batch.column("rid").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(core), pa.array(rid[row])], ["core", "rid"])
+                packed = (first * SPAN + last - first) * SPAN + anchor - first
+                yield pa.RecordBatch.from_arrays([pa.array(core), pa.array(rid[row]), pa.array(packed)], ["core", "rid", "run"])
     return run
 
 
@@ -104,38 +105,32 @@ def _stretches(length: int, gram: int):
     (anchor, first, last) as positions in the document."""
     def run(batches):
         for batch in slices(batches, "text", 1 << 20):
-            data, offsets = texts_of(batch.column("text"))
-            (row, anchor, first, last, core), begin, end, base = _runs(data, offsets, length, gram)
-            rids, ords = batch.column("rid").to_pylist(), batch.column("ord").to_pylist()
-            bound = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            lists = [batch.column(c) for c in ("runs", "cores", "places")]
+            edge = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False))])
+            lists = [x.flatten().to_numpy(zero_copy_only=False) for x in lists]
             out = []
-            cores, places = (batch.column(c) for c in ("cores", "places"))
-            edge = np.concatenate([[0], np.cumsum(cores.value_lengths().to_numpy(zero_copy_only=False))])
-            cores, places = (x.flatten().to_numpy(zero_copy_only=False) for x in (cores, places))
-            for i in range(batch.num_rows):
-                low, high = bound[i], bound[i + 1]
-                known, order = np.unique(cores[edge[i]:edge[i + 1]], return_index=True)
-                place = places[edge[i]:edge[i + 1]][order]
+            for i, (rid, ord_, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("rid", "ord", "text")))):
+                packed, core, place = (x[edge[i]:edge[i + 1]] for x in lists)
+                order = np.argsort(packed)  # by first start
+                packed, core, place = packed[order], core[order], place[order]
+                first = packed // (SPAN * SPAN)
+                last, anchor = first + packed // SPAN % SPAN, first + packed % SPAN
                 shard, own = place >> 1, (place & 1).astype(bool)
-                at = np.minimum(np.searchsorted(known, core[low:high]), len(known) - 1)
-                here = np.flatnonzero(known[at] == core[low:high])
-                at, here = at[here], here + low
-                text = b" ".join(data[offsets[i]:offsets[i + 1]].tobytes().split())
-                sizes = (end - begin)[base[i]:base[i + 1] if i + 1 < len(base) else len(begin)]
-                ends = np.cumsum(sizes + 1) - 1
+                words = text.encode().split()
+                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+                text = b" ".join(words)
                 word = lambda a, z: text[(ends[a - 1] + 1 if a else 0):ends[z - 1]].decode()
-                mine, which = np.unique(at, return_index=True)
-                for k in which[own[mine]].tolist():
-                    a = anchor[here[k]]
-                    out.append((int(shard[at[k]]), 0, rids[i], ords[i], 0, gram, word(a, a + gram), b""))
-                for s in np.unique(shard[at]).tolist():
-                    runs = here[shard[at] == s]
+                _, which = np.unique(core, return_index=True)
+                for k in which[own[which]].tolist():
+                    out.append((int(shard[k]), 0, rid, ord_, 0, gram, word(anchor[k], anchor[k] + gram), b""))
+                for s in np.unique(shard).tolist():
+                    runs = np.flatnonzero(shard == s)
                     f, z = first[runs], last[runs] + length
                     cut = np.flatnonzero(np.concatenate([[True], f[1:] > np.maximum.accumulate(z)[:-1]]))
                     for j, k in zip(cut.tolist(), [*cut[1:].tolist(), len(runs)]):
                         part = np.stack([anchor[runs[j:k]], f[j:k], last[runs[j:k]]])
                         a, n = int(f[j]), int(z[j:k].max() - f[j])
-                        out.append((s, 1, rids[i], ords[i], a, n, word(a, a + n), part.tobytes()))
+                        out.append((s, 1, rid, ord_, a, n, word(a, a + n), part.tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), STRETCH)], schema=STRETCH)
     return run
@@ -226,17 +221,17 @@ def _windows(length: int):
 def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """(nodes, stretches): every run whose phrase recurs, found by the automata."""
     rows = _documents(docs)
-    phrases = saved(rows.select("rid", "text").mapInArrow(_phrases(length, gram), "core long, rid long"), "op6-phrases")
+    phrases = saved(rows.select("rid", "text").mapInArrow(_phrases(length, gram), "core long, rid long, run long"), "op6-phrases")
     recurring = saved(phrases.groupBy("core").agg(F.count("*").alias("n"), F.min("rid").alias("owner"))
                       .where("n > 1").select("core", "owner"), "op6-recurring")
     shards = max(1, -(-recurring.count() // SHARD_PHRASES))
     place = F.pmod(F.xxhash64("owner"), F.lit(shards)) * 2 + (F.col("owner") == F.col("rid")).cast("long")
-    # repeated rows share a key, so their list holds each phrase once
-    keys = saved(phrases.join(recurring, "core").select("rid", F.struct("core", place.alias("place")).alias("key"))
+    # repeated rows share a key, so their list holds each run once
+    keys = saved(phrases.join(recurring, "core").select("rid", F.struct("run", "core", place.alias("place")).alias("key"))
                  .groupBy("rid").agg(F.collect_set("key").alias("keys"))
-                 .select("rid", F.col("keys.core").alias("cores"), F.col("keys.place").alias("places")), "op6-keys")
+                 .select("rid", *[F.col(f"keys.{c}").alias(f"{c}s") for c in ("run", "core", "place")]), "op6-keys")
     drop_saved(phrases, recurring)
-    stretches = saved(rows.join(keys.hint("shuffle_hash"), "rid").select("rid", "ord", "text", "cores", "places")
+    stretches = saved(rows.join(keys.hint("shuffle_hash"), "rid").select("rid", "ord", "text", "runs", "cores", "places")
                       .mapInArrow(_stretches(length, gram), STRETCH_DDL), "op6-stretches")
     drop_saved(keys)
     salts = (stretches.groupBy("shard").agg(F.sum(F.length("words")).alias("size"))

@@ -25,7 +25,7 @@ def test_phrases_of_string_ids_equal_those_of_integers(spark):
 
 def test_thousands_of_equal_rows_keep_short_phrase_lists(spark):
     text = words(7, 120)
-    docs = spark.range(2000).selectExpr("5L AS doc_id", f"'{text}' AS text").unionByName(
+    docs = spark.range(5000).selectExpr("5L AS doc_id", f"'{text}' AS text").unionByName(
         spark.createDataFrame([(6, text), (7, words(8, 120))], "doc_id long, text string"))
     removed = [(r.doc_id, r.n_removed) for r in P.phrase_report(docs).select("doc_id", "n_removed").distinct().collect()]
     assert sorted(removed) == [(5, 0), (6, 120), (7, 0)]
