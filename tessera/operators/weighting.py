@@ -57,18 +57,20 @@ def with_idf(tf: DataFrame, idf: DataFrame, hot_terms: int = HOT_TERMS) -> DataF
 
 
 def boosted_tfidf(docs: DataFrame, boost: int = TITLE_BOOST,
-                  stop_words=STOP_WORDS_EN, hot_terms: int = HOT_TERMS) -> DataFrame:
+                  stop_words=STOP_WORDS_EN, hot_terms: int = HOT_TERMS, spread: int | None = None) -> DataFrame:
     """TXT-10: ``(doc_id, term, weight)`` of L2-normalised TF-IDF vectors.
 
     Text = title repeated ``boost`` times + text, lower-cased, tokenized,
     stop words removed; tf = raw count, idf = ln((1 + n) / (1 + df)) + 1
     (smoothed), weight = tf * idf / ||tf * idf||.  The counts and the idf are
-    written once (checkpoint), so the corpus is tokenized once.
+    written once (checkpoint), so the corpus is tokenized once.  ``spread`` deals
+    the documents by id into that many partitions, where their terms are counted.
     """
     body = F.concat_ws(" ", *([F.col("title")] * boost), F.col("text"))
     remover = StopWordsRemover(inputCol="_toks", outputCol="_kept",
                                stopWords=list(stop_words), caseSensitive=True)
-    kept = remover.transform(docs.select("doc_id", tokenize(F.lower(body)).alias("_toks")))
+    rows = docs if spread is None else docs.repartition(spread, "doc_id")
+    kept = remover.transform(rows.select("doc_id", tokenize(F.lower(body)).alias("_toks")))
     tf = cut_lineage(kept.select("doc_id", F.explode("_kept").alias("term"))
                      .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()

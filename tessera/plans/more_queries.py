@@ -11,6 +11,7 @@ from tessera.functions import html as H
 from tessera.operators import content as CT, index as IX, ratings as rt, search as SR
 from tessera.plans import oracle as O
 from tessera.plans.queries import register
+from tessera.plans.text_queries import _spread
 from tessera.session import scratch_path
 from tessera.sources import bindings as B, files as FS
 from tessera.sources.tables import table
@@ -71,7 +72,7 @@ SELECT shard, term, CAST(floor(doc_id / 100000) AS BIGINT) AS block,
 FROM postings GROUP BY shard, term, CAST(floor(doc_id / 100000) AS BIGINT)""", "postings"))
 def q_postings_lists(spark, sf):
     """AGG-14: nested postings per (shard, term, doc-id block), as JSON text."""
-    lists = IX.postings_lists(IX.postings(B.docs(spark, sf)))
+    lists = IX.postings_lists(IX.postings(B.docs(spark, sf), spread=_spread(spark, sf)))
     return lists.select("shard", "term", F.col("block").cast("bigint").alias("block"),
                         F.to_json("postings").alias("postings"))
 
