@@ -101,12 +101,16 @@ def key_values(lines: DataFrame) -> DataFrame:
             .select(F.col("kv")[0].alias("key"), F.col("kv")[1].alias("value")))
 
 
-def piped(lines: DataFrame, mapper: str, reducer: str, n_reducers: int) -> DataFrame:
+def piped(lines: DataFrame, mapper: str, reducer: str, n_reducers: int, combiner: str | None = None) -> DataFrame:
     """TXT-22: a mapper and a reducer program over lines; the reducers' output as column ``line``.
 
     The mapper writes ``key<TAB>value`` lines; lines of another form are dropped.  Pairs go to
-    reducer ``shard_of(key, n_reducers)``, which reads them sorted by key.
+    reducer ``shard_of(key, n_reducers)``, which reads them sorted by key.  ``combiner``
+    reads the mapper's lines where they are written, unsorted and with those of another
+    form, and writes pairs in their place: for reducers that may be applied in parts.
     """
+    if combiner is not None:
+        mapper = f"set -o pipefail\n{{ {mapper}\n}} | {{ {combiner}\n}}"
     pairs = key_values(through_program(lines, mapper))
     dealt = (pairs.repartitionById(n_reducers, shard_of("key", n_reducers).cast("int"))
              .sortWithinPartitions("key"))

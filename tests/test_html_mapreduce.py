@@ -83,3 +83,16 @@ def test_map_reduce_without_combiner_streams_groups(spark):
         yield (k, sum(vals))
     out = MR.map_reduce(df, mapper, reducer, 2, "key string, value long")
     assert sorted((r.key, r.value) for r in out.collect()) == [("0", 334), ("1", 333), ("2", 333)]
+
+
+def test_piped_pairs_are_summed_before_the_shuffle(spark):
+    """A combiner next to the mapper gives the same sums from fewer pairs, and its mapper's failure is one."""
+    import pytest
+    from tessera.plans import io_queries as IO
+    lines = spark.createDataFrame([(" a b\ta  a",), ("b\n\u00e9 a",), (None,), ("",)] * 50, "text string").coalesce(2)
+    assert MR.through_program(lines, f"{IO.AWK_WORDS} | {IO.AWK_COMBINED}").count() <= 6
+    for combiner in (None, IO.AWK_COMBINED, IO.AWK_COMBINED.replace("100000", "2")):
+        out = MR.key_values(MR.piped(lines, IO.AWK_WORDS, IO.AWK_SUMS, 3, combiner=combiner)).collect()
+        assert sorted((r.key, r.value) for r in out) == [("a", "200"), ("b", "100"), ("\u00e9", "50")]
+    with pytest.raises(Exception):
+        MR.piped(lines, "cat; exit 3", IO.AWK_SUMS, 3, combiner="cat").count()
