@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.stopwords import STOP_WORDS_EN, WHITESPACE
 from tessera.functions.text import tokenize
-from tessera.session import cut_lineage
+from tessera.session import written
 
 TITLE_BOOST = 4
 #: More frequent terms than this are never broadcast.
@@ -63,7 +63,7 @@ def boosted_tfidf(docs: DataFrame, boost: int = TITLE_BOOST,
     Text = title repeated ``boost`` times + text, lower-cased, tokenized,
     stop words removed; tf = raw count, idf = ln((1 + n) / (1 + df)) + 1
     (smoothed), weight = tf * idf / ||tf * idf||.  The counts and the idf are
-    written once (checkpoint), so the corpus is tokenized once.  ``spread`` deals
+    written once, so the corpus is tokenized once.  ``spread`` deals
     the documents by id into that many partitions, where their terms are counted.
     """
     body = F.concat_ws(" ", *([F.col("title")] * boost), F.col("text"))
@@ -71,11 +71,11 @@ def boosted_tfidf(docs: DataFrame, boost: int = TITLE_BOOST,
                                stopWords=list(stop_words), caseSensitive=True)
     rows = docs if spread is None else docs.repartition(spread, "doc_id")
     kept = remover.transform(rows.select("doc_id", tokenize(F.lower(body)).alias("_toks")))
-    tf = cut_lineage(kept.select("doc_id", F.explode("_kept").alias("term"))
-                     .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    tf = written(kept.select("doc_id", F.explode("_kept").alias("term"))
+                     .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")), "boosted-terms")
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()
-    idf = cut_lineage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-                      .select("term", "df", (F.log((F.lit(1.0) + n) / (F.col("df") + 1)) + 1).alias("idf")))
+    idf = written(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+                      .select("term", "df", (F.log((F.lit(1.0) + n) / (F.col("df") + 1)) + 1).alias("idf")), "boosted-idf")
     w = with_idf(tf, idf, hot_terms).select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("doc_id")))
     return w.select("doc_id", "term", (F.col("w") / norm).alias("weight"))

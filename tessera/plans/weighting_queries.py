@@ -30,7 +30,7 @@ O.define("bw", ("btf", "docs"), """
     "SELECT doc_id, term, round(w / sqrt(SUM(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM bw",
     "bw"))
 def q_tfidf_boosted(spark, sf):
-    v = WT.boosted_tfidf(B.docs(spark, sf, with_credits=False), spread=_spread(spark, sf))
+    v = WT.boosted_tfidf(B.docs(spark, sf, with_credits=False, spread=_spread(spark, sf)))
     return v.select("doc_id", "term", rnd("weight").alias("weight"))
 
 

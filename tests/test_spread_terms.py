@@ -36,3 +36,15 @@ def test_queries_spread_with_the_table(monkeypatch, spark):
     from tessera.plans import text_queries as T
     monkeypatch.setattr(T, "estimated_bytes", lambda df: 1000 * T.SPREAD_BYTES)
     assert T._spread(spark, "/root/testdata/sf0.001") == 1000
+
+
+def test_texts_of_a_query_are_shuffled_once(spark):
+    """Documents meet their part and credits where their terms are counted; no text is sorted."""
+    from tessera.sources import bindings as B
+    d = B.docs(spark, "/root/testdata/sf0.001", with_credits=False, spread=6)
+    plan = IX.doc_terms(d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 2 and "ShuffledHashJoin" in plan and "Sort " not in plan
+    whole = B.docs(spark, "/root/testdata/sf0.001", spread=6)
+    plan = IX.doc_terms(whole)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 3 and "Sort " not in plan
+    assert rows(whole) == rows(B.docs(spark, "/root/testdata/sf0.001"))
