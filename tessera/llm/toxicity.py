@@ -29,7 +29,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass, field, fields
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,8 @@ BLOCK = 512
 DENSE = 1000
 #: Texts of one product over the dense terms.
 TEXTS = 512
+#: Examples whose terms reach the driver at once.
+FETCH = 1000
 #: More than the error of a single-precision product over ``DENSE`` terms of unit vectors, twice.
 SLACK = 2e-4
 #: Weight of the labels' share in a vote, in units of cosine.
@@ -76,14 +80,16 @@ def held_out(doc_id: Column, parts: int = 5, part: int = 0) -> Column:
 
 @dataclass
 class Index:
-    """Block-max inverted index of the examples."""
+    """Block-max inverted index of the examples.
 
-    vocabulary: dict[str, int]
+    Only the postings are sent; what follows from them is made where it is used.
+    """
+
+    terms: pa.Array
     idf: np.ndarray
-    pointers: np.ndarray    # (terms * blocks + 1) into rows, weights
-    rows: np.ndarray
+    counts: np.ndarray      # postings of each term
+    rows: np.ndarray        # by term and example
     weights: np.ndarray
-    block_max: np.ndarray   # terms x blocks
     votes: np.ndarray       # labelled rows an example stands for
     toxic: np.ndarray
     ids: list
@@ -91,10 +97,35 @@ class Index:
     id_type: T.DataType = field(default_factory=T.LongType)
 
     def __post_init__(self):
-        self.dense = None  # made where it is used, not sent
+        self.dense = None
 
     def __getstate__(self):
-        return self.__dict__ | {"dense": None, "slot": None}
+        return {f.name: getattr(self, f.name) for f in fields(self)} | {"dense": None}
+
+    @cached_property
+    def vocabulary(self) -> dict[str, int]:
+        return {t: i for i, t in enumerate(self.terms.to_pylist())}
+
+    @cached_property
+    def _cells(self) -> tuple[np.ndarray, np.ndarray]:
+        blocks = max(1, -(-len(self.toxic) // BLOCK))
+        cell = np.repeat(np.arange(len(self.counts)) * blocks, self.counts) + self.rows // BLOCK
+        pointers = np.zeros(len(self.counts) * blocks + 1, np.int32)
+        np.add.at(pointers[1:], cell, 1)
+        np.cumsum(pointers, dtype=np.int32, out=pointers)
+        block_max = np.zeros(len(self.counts) * blocks, np.float32)
+        np.maximum.at(block_max, cell, self.weights)
+        return pointers, block_max.reshape(len(self.counts), blocks)
+
+    @property
+    def pointers(self) -> np.ndarray:
+        """(terms * blocks + 1) into rows, weights."""
+        return self._cells[0]
+
+    @property
+    def block_max(self) -> np.ndarray:
+        """Terms x blocks."""
+        return self._cells[1]
 
     def _widen(self):
         """Frequent terms also stand as dense rows, for one product a batch of texts."""
@@ -211,7 +242,7 @@ def _terms(batches):
 
 def _frequencies(shared):
     def run(batches):
-        known = shared.value
+        known = {t: i for i, t in enumerate(shared.value.to_pylist())}
         total = np.zeros(len(known), np.int64)
         for batch in slices(batches, "text", 16 << 20):
             found = Counter()  # a slice looks a word up in the vocabulary once
@@ -225,16 +256,51 @@ def _frequencies(shared):
     return run
 
 
-def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
+def document_frequencies(docs: DataFrame, terms: pa.Array | Iterable[str]) -> tuple[np.ndarray, int]:
     """Documents that hold each term, and all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    terms = terms if isinstance(terms, pa.Array) else pa.array(list(terms), pa.string())
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
     found = docs.select("text").mapInArrow(_frequencies(shared), "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(len(vocabulary), np.int64)
+    df = np.zeros(len(terms), np.int64)
     df[found["t"].to_numpy()] = found["n"].to_numpy()
     shared.unpersist()
     return df, docs.count()
 
 
+def _weighted_terms(terms: DataFrame, examples: np.ndarray, keys: np.ndarray, weight: np.ndarray):
+    """(example, term, weight in its unit vector) of each known term of an example, by their
+    numbers, and each example's weightiest term.
+
+    Terms go by their hash, as 64-bit keys do elsewhere; ``examples`` and ``keys`` are sorted.
+    The driver gets the rows of ``FETCH`` examples at once, as Arrow columns, and keeps 12 bytes of a row.
+    """
+    heavy = np.full(len(examples), len(keys))
+    parts = [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32))]
+    for at in range(0, len(examples), FETCH):
+        some = examples[at:at + FETCH]
+        rows = (terms.where(F.col("example").between(int(some[0]), int(some[-1])))
+                .select("example", F.xxhash64("term").alias("h"), "n").toArrow())
+        h = rows["h"].to_numpy()
+        t = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1)).astype(np.int32)
+        known = keys[t] == h if len(keys) else np.zeros(len(h), bool)
+        t = t[known]
+        e = np.searchsorted(some, rows["example"].to_numpy()[known])
+        value = (1 + np.log(rows["n"].to_numpy()[known])) * weight[t]
+        norm = np.sqrt(np.bincount(e, value * value, minlength=len(some)))
+        norm[norm == 0] = 1.0
+        value = (value / norm[e]).astype(np.float32)
+        by = np.lexsort((t, value, e))
+        heavy[at + e[by]] = t[by]
+        parts.append(((at + e).astype(np.int32), t, value))
+        del rows, h, known, by
+        pa.default_memory_pool().release_unused()
+    e, t, value = zip(*parts)
+    del parts
+    e = np.concatenate(e)
+    t = np.concatenate(t)
+    return e, t, np.concatenate(value), heavy
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = MAX_EXAMPLES,
         min_z: float = MIN_Z) -> Index:
     """Index over at most ``max_examples`` examples of each label.
@@ -254,8 +320,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples:
     # at most 2 * max_examples rows: small by the parameter
     examples = saved(docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id")
                      .select("doc_id", "text", "y", F.monotonically_increasing_id().alias("example")), "op1-examples")
-    kept = examples.select("example", "doc_id", "y").orderBy("example").toPandas()
-    size, toxic = len(kept), kept["y"].to_numpy(float)
+    kept = examples.select("example", "doc_id", "y").orderBy("example").toArrow()
+    ids, toxic = kept["doc_id"].to_pylist(), kept["y"].to_numpy().astype(float)
+    size = len(ids)
     terms = saved(examples.select("example", "text").mapInArrow(_terms, "example long, term string, n long"), "op1-terms")
     stats = (terms.join(F.broadcast(examples.select("example", "y")), "example")
              .groupBy("term").agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")))
@@ -264,41 +331,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples:
     z = F.abs(F.col("n1") / s1 - F.col("n0") / s0) / F.sqrt((F.col("n1") + F.col("n0")) / F.lit(s1 + s0) * F.lit(1 / s1 + 1 / s0))
     chosen = (stats.select("term", F.xxhash64("term").alias("h"), z.alias("z")).where(F.col("z") >= min_z)
               .orderBy("h").toArrow())
-    vocabulary = {t: i for i, t in enumerate(chosen["term"].to_pylist())}
-    df, n_docs = document_frequencies(docs, vocabulary)
+    known = chosen["term"].combine_chunks()
+    df, n_docs = document_frequencies(docs, known)
     weight = np.log((1.0 + n_docs) / (1 + df)) * chosen["z"].to_numpy()
-    # terms go by their hash, as 64-bit keys do elsewhere; columns come as Arrow, without an object a row
-    rows = terms.select(F.col("example"), F.xxhash64("term").alias("h"), "n").toArrow()
-    keys, h = chosen["h"].to_numpy(), rows["h"].to_numpy()
-    t = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1)).astype(np.int32)
-    known = keys[t] == h if len(keys) else np.zeros(len(h), bool)
-    t = t[known]
-    e = np.searchsorted(kept["example"].to_numpy(), rows["example"].to_numpy()[known]).astype(np.int32)
-    value = (1 + np.log(rows["n"].to_numpy()[known])) * weight[t]
-    del rows, chosen, h, known
-    norm = np.sqrt(np.bincount(e, value * value, minlength=size)) if size else np.zeros(0)
-    norm[norm == 0] = 1.0
-    value = (value / norm[e]).astype(np.float32) if len(e) else value.astype(np.float32)
+    e, t, value, heavy = _weighted_terms(terms, kept["example"].to_numpy(), chosen["h"].to_numpy(), weight)
+    del chosen, kept
     # examples with the same weightiest term stand together: block bounds are tighter then
-    heavy = np.full(size, len(vocabulary))
-    by = np.lexsort((t, value, e))
-    heavy[e[by]] = t[by]
-    del by
-    place = np.empty(size, np.int64)
+    place = np.empty(size, np.int32)
     place[np.lexsort((toxic, heavy))] = np.arange(size)
     back = np.argsort(place)
-    blocks = max(1, -(-size // BLOCK))
-    e = place[e] if len(e) else e
-    cell = t * np.int64(blocks) + e // BLOCK
-    by = np.lexsort((e, cell))
-    e, t, value, cell = e[by], t[by], value[by], cell[by]
-    pointers = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=len(vocabulary) * blocks))]).astype(np.int32)
-    block_max = np.zeros(len(vocabulary) * blocks, np.float32)
-    np.maximum.at(block_max, cell, value)
+    e = place[e]
+    by = np.argsort(t * np.int64(size) + e, kind="stable")
+    counts = np.bincount(t, minlength=len(known)).astype(np.int32)
+    del t
+    e, value = e[by], value[by]
+    del by
+    pa.default_memory_pool().release_unused()
     stands = np.array([totals.get(0, 0) / max(1, size - toxic.sum()), totals.get(1, 0) / max(1, toxic.sum())])
-    return Index(vocabulary, weight, pointers, e, value, block_max.reshape(len(vocabulary), blocks),
-                 stands[toxic.astype(int)][back] if size else np.zeros(0), toxic[back] if size else toxic,
-                 [kept["doc_id"].tolist()[i] for i in back], prior, docs.schema["doc_id"].dataType)
+    return Index(known, weight, counts, e, value, stands[toxic.astype(int)][back] if size else np.zeros(0), toxic[back] if size else toxic,
+                 [ids[i] for i in back], prior, docs.schema["doc_id"].dataType)
 
 
 def _score(shared, k: int, id_type: pa.DataType):
