@@ -14,3 +14,8 @@ def test_many_results_are_not_broadcast(spark, monkeypatch, limit, hints):
     got = SR._fetched(top, store, queries)
     assert got._jdf.queryExecution().analyzed().toString().count("ResolvedHint") == hints
     assert got.count() == 50
+
+
+def test_at_most_100000_rows_are_broadcast(spark):
+    few, many = (SR._counted(spark.range(n))._jdf.queryExecution().analyzed().toString() for n in (1000, 300_000))
+    assert "ResolvedHint" in few and "ResolvedHint" not in many
